@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,9 +95,13 @@ def publish_order(events: DataFrame) -> DataFrame:
     return ordinal(events, ["file_id"], ["phase", "key"], "seq", cut_by=leading)
 
 
-def envelope(df: DataFrame, payload: str, op: str, key: Column, event_id: Column, body: Column) -> DataFrame:
-    """Events as ``file_id, topic, key, phase, value``; the value's keys are in
-    name order and nothing is left out."""
+def envelope(
+    df: DataFrame, payload: str, op: str, key: Column, event_id: Column, body: Column, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Events as ``file_id, topic, key, phase, value`` plus the carried columns.
+
+    The value's keys are in name order and nothing is left out.
+    """
     given = {"schema_version": F.lit(SCHEMA_VERSION), "event_id": event_id, "op": F.lit(op), payload: body}
     fields = [given.get(n, F.col(n)).alias(n) for n in sorted((*ENVELOPE_FIELDS, payload))]
     return df.select(
@@ -105,6 +110,7 @@ def envelope(df: DataFrame, payload: str, op: str, key: Column, event_id: Column
         key.alias("key"),
         F.lit(PHASES[payload, op]).alias("phase"),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
+        *carry,
     )
 
 
