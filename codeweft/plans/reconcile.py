@@ -235,14 +235,15 @@ def reconcile(
 ) -> Batch:
     """Events, results and next state for ``files`` in the source-file layout.
 
-    Unchanged files are taken out before the parser sees them. A file that is
-    no longer in the tree is not visited, so its elements stay.
+    Unchanged files are taken out before the parser sees them; where all are
+    to be parsed, their content does not take part in a join. A file that is no
+    longer in the tree is not visited, so its elements stay.
     """
     now, run = F.lit(event_time), F.lit(run_id)
-    content = files.select("file_id", "content")
     facts = stage(mark_changed(file_facts(files), file_state, force), "facts")
     changed = facts.where("changed")
-    pending = content.join(changed.select("file_id", "path"), "file_id")
+    everything = force or file_state.isEmpty()
+    pending = files if everything else files.join(changed.select("file_id"), "file_id", "left_semi")
     graph = analyze(pending.select("file_id", "path", "content"))
     nodes, edges = stage(graph.nodes, "nodes"), stage(graph.edges, "edges")
     errors, warned = stage(graph.errors, "errors"), stage(graph.warnings, "warnings")

@@ -26,7 +26,7 @@ from codeweft.queries.templates import CALLS, DATA, FLOW, NODES, TEMPLATES
 from codeweft.session import scratch, stage
 from codeweft.sinks.eventlog import EventLog
 from codeweft.sinks.tables import VersionedTables
-from codeweft.sources.files import as_files, scan_tree, write_tree
+from codeweft.sources.files import as_files, scan_tree, spread, write_tree
 
 RUN_TIME, RUN_ID = "2024-06-01T00:00:00Z", "run-1"
 
@@ -41,7 +41,7 @@ def part_files(spark: SparkSession, sf_dir: str, step: Column | None = None) ->
     made = load(spark, sf_dir, "part").select(
         "p_brand", F.concat(F.lit("parts/"), key, F.lit(".py")).alias("path"), text.cast("binary").alias("content")
     )
-    return as_files(made, F.col("p_brand"))
+    return spread(as_files(made, F.col("p_brand")))
 
 
 def _values(rows: list[tuple]) -> str:

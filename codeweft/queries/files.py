@@ -14,7 +14,7 @@ from codeweft.plans.snapshots import document_counts
 from codeweft.queries.base import load, query, sql_hash
 from codeweft.queries.scalars import sql_line_count
 from codeweft.session import stage
-from codeweft.sources.files import as_files, single_file
+from codeweft.sources.files import as_files, single_file, spread
 
 # Endings put onto page paths so that every exclusion rule has rows.
 ENDINGS = (
@@ -30,7 +30,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".py")).alias("path"),
         F.col("text").cast("binary").alias("content"),
     )
-    return as_files(docs, F.col("source"))
+    return spread(as_files(docs, F.col("source")))
 
 
 SQL_DOCUMENTS = (

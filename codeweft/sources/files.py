@@ -26,6 +26,7 @@ from codeweft.session import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _FLUSH_BYTES = 32 << 20
+_FILES_PER_TASK = 2000
 
 
 def _batch(ddl: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
@@ -100,8 +101,10 @@ def list_files(spark: SparkSession, root: str, suffix: str = ".py") -> DataFrame
 def scan_tree(spark: SparkSession, root: str, repo_id: str) -> DataFrame:
     """``(repo_id, path, file_id, content)`` of every ``*.py`` file below ``root``."""
     paths = list_files(spark, root)
-    # Spread by path, so that one big folder is read by many tasks.
-    read = paths.repartition("full_path").mapInArrow(_read, "full_path string, content binary")
+    # A path is short and its file may be long: go by the number of files, so
+    # that one big folder is read by many tasks.
+    tasks = max(spark.sparkContext.defaultParallelism, paths.count() // _FILES_PER_TASK + 1)
+    read = paths.repartition(tasks, "full_path").mapInArrow(_read, "full_path string, content binary")
     return as_files(read.withColumn("path", relative_path(F.col("full_path"), root)), F.lit(repo_id))
 
 
@@ -115,6 +118,19 @@ def as_files(df: DataFrame, repo_id) -> DataFrame:
     )
 
 
+def spread(files: DataFrame) -> DataFrame:
+    """Give a table that lies in few partitions one task per core.
+
+    Parsing costs far more than reading, so a small table with one split must
+    not be parsed by one task. A table with enough splits is left as it is:
+    its content then never moves.
+    """
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    if files.rdd.getNumPartitions() >= cores:
+        return files
+    return files.repartition(cores, "file_id")
+
+
 def write_tree(files: DataFrame, root: str) -> int:
     """Write one file per row below ``root``; returns how many.
 

@@ -64,7 +64,7 @@ def main(sf_dir: str, names: list[str]) -> int:
 
     spark = build("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
                   spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     bad = 0
     sqls = oracle_sql()
@@ -74,7 +74,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         try:
             problem, took, count = compare(spark, con, name, fn, sqls.get(name), sf_dir)
         except Exception as error:  # noqa: BLE001
-            problem, took, count = f"{type(error).__name__}: {str(error)[:900]}", 0, 0
+            problem, took, count = f"{type(error).__name__}: {str(error).split("JVM stacktrace")[0][:600]}", 0, 0
         bad += problem is not None
         print(f"{'ok ' if problem is None else 'BAD'} {name:28} {took:6.1f}s {count:8} rows {'' if name in sqls else '(no sql)'} {problem or ''}", flush=True)
     print("bad", bad)
