@@ -9,7 +9,7 @@ from codeweft.session import build  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build(
         "tests",
         "local[8]",
@@ -17,7 +17,8 @@ def spark():
         spark__ui__enabled="false",
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
