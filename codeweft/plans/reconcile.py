@@ -245,7 +245,7 @@ def reconcile(
     everything = force or file_state.isEmpty()
     pending = files if everything else files.join(changed.select("file_id"), "file_id", "left_semi")
     graph = analyze(pending.select("file_id", "path", "content"))
-    nodes, edges = stage(graph.nodes, "nodes"), stage(graph.edges, "edges")
+    nodes, edges = stage(graph.nodes, "nodes", "file_id"), stage(graph.edges, "edges", "file_id")
     errors, warned = stage(graph.errors, "errors"), stage(graph.warnings, "warnings")
 
     def ids(df: DataFrame, kind: str) -> DataFrame:

@@ -30,7 +30,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".py")).alias("path"),
         F.col("text").cast("binary").alias("content"),
     )
-    return spread(as_files(docs, F.col("source")))
+    return as_files(docs, F.col("source"))
 
 
 SQL_DOCUMENTS = (
@@ -123,7 +123,7 @@ def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def document_parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the parser says about documents that are no Python code."""
-    raw = extract(document_files(spark, sf_dir))
+    raw = extract(spread(document_files(spark, sf_dir)))
     return failures(raw).select("file_id", "exception_type", "message", "line", "column", "traceback")
 
 
