@@ -12,7 +12,7 @@ from codeweft.operators.dfg import data_flow
 from codeweft.operators.extract import extract, failures
 from codeweft.operators.graph import ast_edges, ast_nodes, external_nodes, scope_bounds, union_all
 from codeweft.operators.warn import warnings
-from codeweft.session import plan_buckets, stage
+from codeweft.session import in_place, plan_buckets, stage
 
 
 @dataclass(frozen=True)
@@ -34,15 +34,16 @@ def parse(files: DataFrame, lossy: bool = False) -> DataFrame:
     """
     sources = files.select("file_id", "path", "content")
     placed = sources.repartition(plan_buckets(sources), "file_id")
-    return stage(extract(placed, lossy), "syntax", "file_id", in_place=True)
+    return stage(extract(placed, lossy), "syntax", "file_id", laid_out=True)
 
 
 def analyze(files: DataFrame) -> CodeGraph:
     """Nodes, edges, warnings and parse errors of ``files(file_id, path, content)``."""
     raw = parse(files)
-    flow = stage(flow_paths(raw), "flow", "file_id")
-    data = data_flow(raw, flow)
-    calls = stage(call_ops.resolved_calls(raw), "calls", "file_id")
+    with in_place(files.sparkSession):
+        flow = stage(flow_paths(raw), "flow", "file_id")
+        data = data_flow(raw, flow)
+        calls = stage(call_ops.resolved_calls(raw), "calls", "file_id")
     missing = data.missing.unionByName(call_ops.missing_callees(calls))
     nodes = union_all(ast_nodes(raw), scope_bounds(raw), external_nodes(missing))
     edges = union_all(ast_edges(raw), cfg_edges(raw, flow), data.edges, call_ops.call_edges(calls))

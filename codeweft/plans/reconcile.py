@@ -28,7 +28,7 @@ from codeweft.schemas import (
     TOPIC_METADATA,
     TOPIC_NODES,
 )
-from codeweft.session import stage
+from codeweft.session import in_place, stage
 from codeweft.sinks.eventlog import EventLog
 from codeweft.sinks.tables import VersionedTables
 
@@ -245,8 +245,10 @@ def reconcile(
     everything = force or file_state.isEmpty()
     pending = files if everything else files.join(changed.select("file_id"), "file_id", "left_semi")
     graph = analyze(pending.select("file_id", "path", "content"))
-    nodes, edges = stage(graph.nodes, "nodes", "file_id"), stage(graph.edges, "edges", "file_id")
-    errors, warned = stage(graph.errors, "errors"), stage(graph.warnings, "warnings")
+    with in_place(files.sparkSession):
+        nodes, edges = stage(graph.nodes, "nodes", "file_id"), stage(graph.edges, "edges", "file_id")
+        warned = stage(graph.warnings, "warnings", "file_id")
+    errors = graph.errors
 
     def ids(df: DataFrame, kind: str) -> DataFrame:
         return df.select("file_id", F.lit(kind).alias("element_type"), F.col("id").alias("element_id"))

@@ -23,7 +23,7 @@ from codeweft.plans import reconcile as rec
 from codeweft.plans.analyze import analyze, parse
 from codeweft.queries.base import load, query, sql_hash
 from codeweft.queries.templates import CALLS, DATA, FLOW, NODES, TEMPLATES
-from codeweft.session import scratch, stage
+from codeweft.session import in_place, scratch, stage
 from codeweft.sinks.eventlog import EventLog
 from codeweft.sinks.tables import VersionedTables
 from codeweft.sources.files import as_files, scan_tree, write_tree
@@ -144,7 +144,8 @@ def cfg_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dfg_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data-flow edges."""
     raw = _syntax(spark, sf_dir)
-    return data_flow(raw, stage(flow_paths(raw), "flow")).edges
+    with in_place(spark):
+        return data_flow(raw, stage(flow_paths(raw), "flow", "file_id")).edges
 
 
 @query(f"WITH {_CODE} {_EDGE_ROWS} WHERE kind = 'CALL'", name="call_edges")
@@ -158,7 +159,9 @@ def unresolved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A node for every name that nothing in the file defines."""
     raw = _syntax(spark, sf_dir)
     calls = call_ops.missing_callees(call_ops.resolved_calls(raw))
-    return gr.external_nodes(data_flow(raw, stage(flow_paths(raw), "flow")).missing.unionByName(calls))
+    with in_place(spark):
+        missing = data_flow(raw, stage(flow_paths(raw), "flow", "file_id")).missing
+    return gr.external_nodes(missing.unionByName(calls))
 
 
 @query(f"WITH {_CODE} {_NODE_ROWS}")

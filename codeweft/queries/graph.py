@@ -14,6 +14,7 @@ from codeweft.operators.paths import nearest_ancestor as find_ancestor
 from codeweft.plans.snapshots import graph_snapshot as snapshot
 from codeweft.queries.base import load, query, sql_hash
 from codeweft.schemas import EDGE_KINDS
+from codeweft.session import stage
 
 HELD = "p_size <= 25"  # parts whose node is there; edges to others dangle
 
@@ -304,7 +305,7 @@ _TREE = """
 )
 def nearest_ancestor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every line the nearest finished order, building customer or nation."""
-    orders = tree_orders(spark, sf_dir)
+    orders = stage(tree_orders(spark, sf_dir), "tree")
     lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber").distinct()
     leaf = F.concat("order_path", F.lit(".l"), F.col("l_linenumber").cast("string"))
     rows = lines.join(orders, "o_orderkey").select(F.lit("tree").alias("file_id"), leaf.alias("path"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,9 +18,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    # Tables bucketed by file join and aggregate in place on any keys that
-    # hold the file, and are written without a sort.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Bucketed tables are written without a sort.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
@@ -62,6 +62,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/codeweft/{name}-{uuid.uuid4().hex}"
 
 
+_CO_LOCATED = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+@contextmanager
+def in_place(spark: SparkSession) -> Iterator[None]:
+    """Within this, tables bucketed by file join on any keys that hold the file
+    without a shuffle. For graph passes only, where a key is one parsed file:
+    elsewhere a hot file would stay in one partition."""
+    before = spark.conf.get(_CO_LOCATED)
+    spark.conf.set(_CO_LOCATED, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CO_LOCATED, before)
+
+
 _BUCKETS = "spark.codeweft.buckets"
 _BUCKET_BYTES = 256 << 20
 _UNKNOWN_SIZE = 1 << 60
@@ -88,14 +104,14 @@ def _buckets(spark: SparkSession) -> int:
     return int(spark.conf.get(_BUCKETS, spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def stage(df: DataFrame, name: str, by: str | None = None, in_place: bool = False) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None, laid_out: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage like a checkpoint, survives lost executors, and keeps
     column pruning and filter pushdown for the readers. With ``by`` the table
     is bucketed on that column: later joins, windows and aggregates on keys that
     hold it need no shuffle. The shuffle here falls away, too, where ``df`` is
-    known to be laid out that way, or is said to be by ``in_place``.
+    known to be laid out that way, or is said to be by ``laid_out``.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
@@ -104,6 +120,6 @@ def stage(df: DataFrame, name: str, by: str | None = None, in_place: bool = Fals
         return spark.read.schema(df.schema).parquet(path)
     count = _buckets(spark)
     table = f"codeweft_{name}_{uuid.uuid4().hex}"
-    rows = df if in_place else df.repartition(count, by)
+    rows = df if laid_out else df.repartition(count, by)
     rows.write.bucketBy(count, by).option("path", path).saveAsTable(table)
     return spark.table(table)
