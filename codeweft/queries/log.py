@@ -14,8 +14,8 @@ from codeweft.plans.reconcile import envelope
 from codeweft.plans.replay import with_previous
 from codeweft.queries.base import load, query, sql_hash, sql_json
 from codeweft.schemas import TOPIC_METADATA, TOPIC_NODES
-from codeweft.session import scratch
-from codeweft.sinks.eventlog import EventLog, keep_in_session, read_jsonl, split_dead_letters, write_jsonl
+from codeweft.session import scratch, stage
+from codeweft.sinks.eventlog import EventLog, judge, keep_in_session, read_jsonl, split_dead_letters, write_jsonl
 from codeweft.sources.eventlog import end_offsets, flatten_metadata, retain, route, sample_per_topic, with_key
 
 
@@ -163,7 +163,7 @@ def key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records split into accepted ones and dead letters with reasons."""
-    good, dead = split_dead_letters(damaged(spark, sf_dir), TOPIC_NODES)
+    good, dead = split_dead_letters(stage(judge(damaged(spark, sf_dir), TOPIC_NODES), "judged"))
     return good.select("event_id", F.lit("good").alias("route"), F.lit("").alias("reasons")).unionByName(
         dead.select("event_id", F.lit("dead").alias("route"), F.array_join("reasons", ",").alias("reasons"))
     )
