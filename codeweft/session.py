@@ -122,4 +122,8 @@ def stage(df: DataFrame, name: str, by: str | None = None, laid_out: bool = Fals
     table = f"codeweft_{name}_{uuid.uuid4().hex}"
     rows = df if laid_out else df.repartition(count, by)
     rows.write.bucketBy(count, by).option("path", path).saveAsTable(table)
-    return spark.table(table)
+    stored = spark.table(table)
+    # Only a catalog entry tells readers about buckets. The frame has it now, so
+    # the entry goes; the files stay, as their path was given.
+    spark.sql(f"DROP TABLE {table}")
+    return stored

@@ -16,8 +16,14 @@ def log_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_f
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    # The pattern lets the table be one file or a folder of files.
-    return reader.parquet(path.rstrip("/") + "*")
+    # A stream takes a folder or a pattern; one file is named by a pattern.
+    return reader.parquet(path if _is_folder(spark, path) else path + "*")
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(place).isDirectory()
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
