@@ -55,7 +55,7 @@ for _upper in range(65, 91):
 _powers = [np.ones(1, U), np.ones(1, U)]
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) <= n:
         for k, base in enumerate((_BASE, _INVERSE)):
             step = np.full(max(n + 1, _PIECE + 4096), base, U)
@@ -77,7 +77,7 @@ def _hash_piece(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     before = cuts[cuts > 0] - 1
     last[before] = letter[before]
     ends = np.flatnonzero(last) + 1
-    up, down = _power(len(raw))
+    up, down = powers(len(raw))
     sums = np.zeros(len(raw) + 1, U)
     np.cumsum(_BYTE[raw] * up[: len(raw)], out=sums[1:])
     value = (sums[ends] - sums[starts]) * down[starts]

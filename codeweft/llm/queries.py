@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from codeweft.llm.common import prepare
+from codeweft.llm.mix import MIX_SQL, mix
 from codeweft.llm.ngram_join import similar_groups
+from codeweft.llm.pack import pack, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -34,6 +36,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query(MIX_SQL)
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document, by the target of its source."""
+    return mix(load(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    return pack(load(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query()
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 4-word shingles overlap by 85 per cent."""
