@@ -10,6 +10,7 @@ from codeweft.llm.common import prepare
 from codeweft.llm.mix import MIX_SQL, mix
 from codeweft.llm.ngram_join import similar_groups
 from codeweft.llm.pack import pack, tokenizer_path
+from codeweft.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -36,6 +37,12 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of the held-out fold are not used."""
+    return toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @query(MIX_SQL)
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes each document, by the target of its source."""
