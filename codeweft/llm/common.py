@@ -192,29 +192,17 @@ BITS = 26
 _ROWS = 64
 
 
-def seen_twice(parts: DataFrame) -> np.ndarray:
-    """Bits of the cells that two values or more fell into; see :func:`bit_planes`."""
-
-    def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        a, b = a.reshape(2, -1), b.reshape(2, -1)
-        return np.stack([a[0] | b[0], a[1] | b[1] | (a[0] & b[0])]).reshape(-1)
-
-    return fold(parts, both, "u1", 2 << BITS >> 3).reshape(_ROWS, 2, -1)[:, 1].reshape(-1)
+def seen_once(parts: DataFrame) -> np.ndarray:
+    """Bits of the cells that values fell into; see :func:`bit_chunks`."""
+    return fold(parts, np.bitwise_or, "u1", 1 << BITS >> 3)
 
 
-def seen_once(parts: DataFrame) -> np.ndarray:
-    return fold(parts, np.bitwise_or, "u1", 2 << BITS >> 3).reshape(_ROWS, 2, -1)[:, 0].reshape(-1)
-
-
-def bit_planes(values: np.ndarray) -> list[bytes]:
-    """Which of 2**26 cells values fall into, once or more and twice or more, in
-    64 chunks of two planes each."""
-    cells, counts = np.unique((values >> U(64 - BITS)).astype(np.int64), return_counts=True)
-    planes = np.zeros((2, 1 << BITS >> 3), np.uint8)
-    for plane, got in ((0, cells), (1, cells[counts > 1])):
-        np.bitwise_or.at(planes[plane], got >> 3, (1 << (got & 7)).astype(np.uint8))
-    split = planes.reshape(2, _ROWS, -1)
-    return [pack(split[:, k]) for k in range(_ROWS)]
+def bit_chunks(values: np.ndarray) -> list[bytes]:
+    """Which of 2**26 cells values fall into, in 64 chunks."""
+    cells = np.unique((values >> U(64 - BITS)).astype(np.int64))
+    plane = np.zeros(1 << BITS >> 3, np.uint8)
+    np.bitwise_or.at(plane, cells >> 3, (1 << (cells & 7)).astype(np.uint8))
+    return [pack(part) for part in plane.reshape(_ROWS, -1)]
 
 
 def in_cells(bits: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -6,14 +6,18 @@ sketch of fixed size; any order common to all is exact, a good one is fast. Two
 sets that are similar enough share a shingle among the first few of each, so
 classes are joined on those alone.
 
-A group of classes that share a prefix shingle is first compared with a few of its
-members (``LEADERS``); links found there connect it. Only pairs that are still in
-different components are then joined with each other, and pass the length, positional
-and suffix filters before they are verified. So a group of thousands of near copies
-takes a few comparisons for each member, and no link between components is lost.
+Among the classes of a prefix shingle, those that come first in ``LEADERS`` orders
+common to all lead. Each class is first compared with the leaders that it meets most
+often, ``MEET`` at most. Near copies mostly meet the same ones, so links found
+there connect groups of thousands with a few comparisons each. Then pairs that share a prefix shingle and still are in different components
+are tried: all of them pass the length, positional and suffix filters where they
+meet, and only what is left is verified, once, at the first shingle they share. So
+no link between components is lost.
 
 Hot groups: copies collapse in partial aggregates; leaders are minima, which
-combine on the map side; joins with them are equi joins whose large side AQE splits.
+combine on the map side; joins are equi joins whose large side AQE splits; a shingle
+with more than ``BLOCK`` classes is cut into blocks, and pairs of blocks are tasks of
+their own.
 """
 
 from __future__ import annotations
@@ -23,13 +27,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeweft.llm.common import (
     SALTS,
     U,
-    bit_planes,
+    bit_chunks,
     components,
     fold,
     in_cells,
@@ -37,14 +41,15 @@ from codeweft.llm.common import (
     mix,
     pack,
     seen_once,
-    seen_twice,
     shingle_sets,
     table,
 )
 
 SKETCH = 20
 _CHUNKS = 16
-LEADERS = 3
+LEADERS = 4
+MEET = 24
+BLOCK = 1024
 _FLUSH = 1 << 21
 
 
@@ -80,9 +85,7 @@ def _overlap_bound(a: bytes, b: bytes) -> int | None:
 _SETS = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("chunk", pa.int32()), ("salt", pa.int32()), ("part", pa.binary())]
 )
-_PREFIX = pa.schema(
-    [("cls", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("sketch", pa.binary()), ("chunk", pa.int32()), ("salt", pa.int32()), ("part", pa.binary())]
-)
+_PREFIX = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("sketch", pa.binary())])
 _POSTING = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("pos", pa.int64())])
 _STORED = pa.schema([("cls", pa.int64()), ("members", pa.binary())])
 
@@ -126,10 +129,10 @@ def _measure(n: int):
 
 
 def _prefixes(n: int, num: int, den: int, counts):
-    """The prefix of each set, rarest first, and the cells of all prefixes of the task."""
+    """The prefix of each set, rarest first, and its suffix sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, waiting, size = counts.value, [], 0
+        known = counts.value
         for batch in batches:
             cls, sizes, tokens, sketches = [], [], [], []
             for s in shingle_sets(batch["text"], n):
@@ -137,46 +140,26 @@ def _prefixes(n: int, num: int, den: int, counts):
                     continue
                 # Stable, and s is sorted: equal counts go by hash.
                 order = np.argsort(known[(s >> U(64 - SKETCH)).astype(np.int64)], kind="stable")
-                first = s[order[: prefix_length(len(s), num, den)]]
                 cls.append(class_of(s))
                 sizes.append(len(s))
-                tokens.append(first.tobytes())
+                tokens.append(s[order[: prefix_length(len(s), num, den)]].tobytes())
                 sketches.append(_suffix_sketch(s))
-                waiting.append(first)
-                size += len(first)
-            none = [None] * len(cls)
-            yield table(_PREFIX, cls=cls, n=sizes, tokens=tokens, sketch=sketches, chunk=none, salt=none, part=none)
-            if size > _FLUSH:
-                yield _chunk_rows(_PREFIX, bit_planes(np.concatenate(waiting)))
-                waiting, size = [], 0
-        yield _chunk_rows(_PREFIX, bit_planes(np.concatenate([*waiting, np.zeros(0, U)])))
+            yield table(_PREFIX, cls=cls, n=sizes, tokens=tokens, sketch=sketches)
 
     return run
 
 
-def _postings(twice):
-    """A row for each prefix shingle that may occur in two classes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [np.frombuffer(t.as_buffer(), U) for t in batch["tokens"]]
-            lengths = np.array([len(v) for v in values], np.int64)
-            if not lengths.sum():
-                continue
-            tokens = np.concatenate(values)
-            row = np.repeat(np.arange(len(values)), lengths)
-            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            here = in_cells(twice.value, tokens)
-            row = row[here]
-            yield table(
-                _POSTING,
-                token=tokens[here].view(np.int64),
-                cls=np.asarray(batch["cls"])[row],
-                n=np.asarray(batch["n"])[row],
-                pos=pos[here],
-            )
-
-    return run
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each prefix shingle."""
+    for batch in batches:
+        values = [np.frombuffer(t.as_buffer(), np.int64) for t in batch["tokens"]]
+        lengths = np.array([len(v) for v in values], np.int64)
+        if not lengths.sum():
+            continue
+        tokens = np.concatenate(values)
+        row = np.repeat(np.arange(len(values)), lengths)
+        pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        yield table(_POSTING, token=tokens, cls=np.asarray(batch["cls"])[row], n=np.asarray(batch["n"])[row], pos=pos)
 
 
 def _row_cells(ids: pa.Array, cls: np.ndarray) -> np.ndarray:
@@ -190,9 +173,9 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got.append(_row_cells(batch["doc_id"], np.asarray(batch["cls"])))
         size += len(got[-1])
         if size > _FLUSH:
-            yield _chunk_rows(_MARKS, bit_planes(np.concatenate(got)))
+            yield _chunk_rows(_MARKS, bit_chunks(np.concatenate(got)))
             got, size = [], 0
-    yield _chunk_rows(_MARKS, bit_planes(np.concatenate([*got, np.zeros(0, U)])))
+    yield _chunk_rows(_MARKS, bit_chunks(np.concatenate([*got, np.zeros(0, U)])))
 
 
 _MARKS = pa.schema([("chunk", pa.int32()), ("salt", pa.int32()), ("part", pa.binary())])
@@ -220,6 +203,85 @@ def _needed(na, nb, num: int, den: int):
     return -(-num * (na + nb) // (num + den))
 
 
+_OPEN = ("token", "x", "y", "block", "cls", "n", "pos", "root", "sketch", "open")
+
+
+def _try_group(rows: dict[str, np.ndarray | list], num: int, den: int) -> Iterator[tuple[int, int]]:
+    """Pairs of one group that pass all filters, and share no earlier shingle.
+
+    Members go by size, so that those of fitting length follow each other."""
+    cls, n, pos, root, block = (rows[k] for k in ("cls", "n", "pos", "root", "block"))
+    token, across = int(rows["token"][0]), rows["x"][0] != rows["y"][0]
+    order = np.lexsort((cls, n))
+    cls, n, pos, root, block = cls[order], n[order], pos[order], root[order], block[order]
+    sketches, held = [rows["sketch"][k] for k in order], [rows["open"][k] for k in order]
+    last = np.searchsorted(n, den * n // num, side="right")
+    by_width: dict[int, np.ndarray] = {}
+
+    def sketch_of(k: int, width: int) -> np.ndarray:
+        got = np.frombuffer(sketches[k], np.uint8)
+        return got.astype(np.int32).reshape(-1, width).sum(0)
+
+    earlier: dict[int, np.ndarray] = {}
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, last[i])
+        if not len(j):
+            continue
+        good = (root[j] != root[i]) & (cls[j] != cls[i])
+        if across:
+            good &= block[j] != block[i]
+        most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
+        need = _needed(n[i], n[j], num, den)
+        j, need = j[good & (most >= need)], need[good & (most >= need)]
+        if not len(j):
+            continue
+        width = len(sketches[i])
+        if width and all(len(sketches[k]) >= width for k in (j if len(j) < 50 else j[-1:])):
+            if len(j) < 50:
+                all_ = np.stack([sketch_of(k, width) for k in j])
+            else:
+                if width not in by_width:
+                    by_width[width] = np.stack([sketch_of(k, width) if len(s) >= width else np.full(width, 1 << 20) for k, s in enumerate(sketches)])
+                all_ = by_width[width][j]
+            j = j[np.minimum(all_, sketch_of(i, width)).sum(1) >= need]
+        for k in j.tolist():
+            for m in (i, k):
+                if m not in earlier:
+                    own = np.frombuffer(held[m], np.int64)
+                    earlier[m] = own[own < token]
+            if not len(np.intersect1d(earlier[i], earlier[k], assume_unique=True)):
+                a, b = int(cls[i]), int(cls[k])
+                yield (a, b) if a < b else (b, a)
+
+
+def _try_groups(num: int, den: int):
+    """Over rows sorted by group; a group may go on in the next batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            got = pa.Table.from_batches([batch])
+            rest = got if rest is None else pa.concat_tables([rest, got])
+            keys = [rest[k].to_numpy() for k in ("token", "x", "y")]
+            ends = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+            if len(ends):
+                yield _pairs(rest, [0, *ends.tolist()], num, den)
+                rest = rest.slice(int(ends[-1]))
+        if rest is not None and len(rest):
+            yield _pairs(rest, [0, len(rest)], num, den)
+
+    return run
+
+
+def _pairs(rows: pa.Table, bounds: list[int], num: int, den: int) -> pa.RecordBatch:
+    columns = {k: rows[k].to_pylist() if k in ("sketch", "open") else rows[k].to_numpy() for k in _OPEN}
+    found = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        if b - a > 1:
+            found.extend(_try_group({k: v[a:b] for k, v in columns.items()}, num, den))
+    return table(_PAIR, a=[p[0] for p in found], b=[p[1] for p in found])
+
+
 def _suffix_filter(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,23 +324,26 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     counts = share(fold(measured.where("chunk IS NOT NULL"), np.add, "i8", 1 << SKETCH))
     rows = measured.where("chunk IS NULL").select("doc_id", "n", "cls")
 
-    prefixes = keep(texts.mapInArrow(_prefixes(n, num, den, counts), _ddl(_PREFIX)), "prefixes")
-    twice = share(seen_twice(prefixes.where("chunk IS NOT NULL")))
-    held = prefixes.where("chunk IS NULL").select("cls", "n", "tokens", "sketch")
-    postings = keep(held.select("cls", "n", "tokens").mapInArrow(_postings(twice), _ddl(_POSTING)).distinct(), "postings")
+    held = keep(texts.mapInArrow(_prefixes(n, num, den, counts), _ddl(_PREFIX)), "prefixes")
+    postings = held.select("cls", "n", "tokens").mapInArrow(_postings, _ddl(_POSTING))
+    # Most shingles occur once. That is found by their counts alone, which are narrow.
+    twice = postings.groupBy("token").count().where("count > 1").select("token")
+    postings = keep(postings.join(twice, "token", "left_semi").distinct(), "postings")
+
+    def turn(column: Column, k: int) -> Column:
+        return column.bitwiseXOR(F.lit(k * 0x5DEECE66D1234567 % (1 << 63)))
 
-    # Leaders: members by which no link of a group depends on its order.
-    turned = [F.col("cls").bitwiseXOR(F.lit(k * 0x5DEECE66D1234567 % (1 << 63))) for k in range(LEADERS)]
+    firsts = [f"l{k}" for k in range(LEADERS)]
     lead = postings.groupBy("token").agg(
-        *(F.min(t).alias(f"l{k}") for k, t in enumerate(turned)), F.max("cls").alias("most")
+        *(F.min(turn(F.col("cls"), k)).alias(f) for k, f in enumerate(firsts)), F.max("cls").alias("most")
     )
-    back = [F.col(f"l{k}").bitwiseXOR(F.lit(k * 0x5DEECE66D1234567 % (1 << 63))) for k in range(LEADERS)]
-    lead = lead.where("l0 <> most").select("token", F.array_distinct(F.array(*back)).alias("leaders"))
-    shared = keep(postings.join(lead, "token"), "shared")
-
-    star = shared.select("cls", F.explode("leaders").alias("other")).where("cls <> other")
-    star = star.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
-    tried = keep(_filtered(star, held, num, den), "tried")
+    shared = keep(postings.join(lead.where("l0 <> most").drop("most"), "token"), "shared")
+    star = shared.select("cls", F.explode(F.array_distinct(F.array(*(turn(F.col(f), k) for k, f in enumerate(firsts))))).alias("other"))
+    star = star.where("cls <> other").groupBy("cls", "other").agg(F.count("*").alias("times"))
+    most = Window.partitionBy("cls").orderBy(F.desc("times"), "other")
+    star = star.withColumn("place", F.row_number().over(most)).where(F.col("place") <= MEET)
+    star = star.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
+    tried = keep(_filtered(star.distinct(), held, num, den), "tried")
     first_ids = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     first_ids = keep(first_ids, "classes")
     links = keep(_verify(tried, texts, first_ids, n, num, den), "links")
@@ -287,21 +352,18 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     named = shared.select("token", "cls", "n", "pos").join(
         roots.withColumnRenamed("node", "cls"), "cls", "left"
     ).withColumn("root", F.coalesce("root", "cls"))
-    open_tokens = named.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("token")
-    left = keep(named.join(open_tokens, "token"), "left")
-    x, y = left.alias("x"), left.alias("y")
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    at_most = F.least("x.pos", "y.pos") + 1 + F.least(F.expr("x.n - x.pos - 1"), F.expr("y.n - y.pos - 1"))
-    rest = x.join(
-        y,
-        (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.cls") < F.col("y.cls"))
-        & (F.col("x.root") != F.col("y.root"))
-        & (den * small >= num * large)
-        & ((num + den) * at_most >= num * (F.col("x.n") + F.col("y.n"))),
-    ).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
-    rest = keep(_filtered(rest, held, num, den), "rest")
+    many = named.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("size"))
+    many = many.where("r0 <> r1").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    left = keep(named.join(many, "token"), "left")
+    # A class's open shingles: no more than its prefix.
+    own = left.groupBy("cls").agg(F.collect_list("token").alias("open"))
+    own = own.join(held.select("cls", "sketch").dropDuplicates(["cls"]), "cls").mapInArrow(_packed, _ddl(_OWN))
+    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    dealt = left.withColumn("block", block).join(own, "cls").withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.withColumn("x", F.least("block", "with")).withColumn("y", F.greatest("block", "with")).select(*_OPEN)
+    dealt = dealt.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
+    rest = dealt.mapInArrow(_try_groups(num, den), _ddl(_PAIR)).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = keep(rest, "rest")
     if not rest.isEmpty():
         links = links.union(keep(_verify(rest, texts, first_ids, n, num, den), "links"))
         roots = components(links)
@@ -315,6 +377,15 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     )
 
 
+_OWN = pa.schema([("cls", pa.int64()), ("open", pa.binary()), ("sketch", pa.binary())])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = [np.array(x, np.int64).tobytes() for x in batch["open"].to_pylist()]
+        yield table(_OWN, cls=batch["cls"], open=lists, sketch=batch["sketch"])
+
+
 def _filtered(pairs: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of classes that the length and the suffix filter let through."""
     facts = held.select("cls", "n", "sketch").dropDuplicates(["cls"])
