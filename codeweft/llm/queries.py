@@ -10,6 +10,7 @@ from codeweft.llm.common import prepare
 from codeweft.llm.mix import MIX_SQL, mix
 from codeweft.llm.ngram_join import similar_groups
 from codeweft.llm.pack import pack, tokenizer_path
+from codeweft.llm.secrets import scan
 from codeweft.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,12 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query()
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return scan(load(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of the held-out fold are not used."""
