@@ -312,10 +312,11 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text).
 
     Documents link when ``den * common >= num * union`` over their distinct n-word
-    shingles. Null and empty texts have no shingles and link with nothing. Equal
-    texts, and rows that repeat an id, are in one component; its id is the smallest
-    one in it. A null id takes part like any other and is never the smallest one,
-    so its component is null only where it is alone. Other columns are not read.
+    shingles. Null and empty texts have no shingles and link with nothing. Every row
+    counts by its own text, also where rows repeat an id; equal texts are in one
+    component, whose id is the smallest one in it. A null id takes part like any
+    other and is never the smallest one, so its component is null only where no
+    row in it has an id. No rows: no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
@@ -377,6 +378,34 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     )
 
 
+_FEW = 100_000
+
+
+def first_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` without the documents that have a similar one with a smaller id.
+
+    Of rows that repeat an id, one stays if any is the first of its group, the
+    smallest by text. Rows without an id, without a text or with an empty one all
+    stay. The ids that go are broadcast only where they are few.
+    """
+    groups = keep(similar_groups(docs, n, num, den).where("doc_id IS NOT NULL"), "groups")
+    by_id = groups.groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")
+    )
+    by_id = keep(by_id.where("NOT stays OR rows > 1"), "ids")
+    gone = by_id.where("NOT stays").select("doc_id")
+    if len(gone.select(F.lit(1)).take(_FEW + 1)) <= _FEW:
+        gone = F.broadcast(gone)
+    out = docs.join(gone, "doc_id", "left_anti")
+    again = by_id.where("stays AND rows > 1").select("doc_id")
+    if not again.isEmpty():
+        first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+        one = out.join(again, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+        one = one.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
+        out = out.join(again, "doc_id", "left_anti").union(one)
+    return out.select(*docs.columns)
+
+
 _OWN = pa.schema([("cls", pa.int64()), ("open", pa.binary()), ("sketch", pa.binary())])
 
 

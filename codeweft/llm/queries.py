@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from codeweft.llm.common import prepare
 from codeweft.llm.mix import MIX_SQL, mix
 from codeweft.llm.ngram_join import similar_groups
@@ -66,3 +67,9 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 4-word shingles overlap by 85 per cent."""
     return similar_groups(load(spark, sf_dir, "documents"))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline: toxicity, near duplicates, secrets, mix, packing."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -285,11 +285,17 @@ def _mask(formats: Formats):
         for batch in batches:
             clean = [None if t is None else masked(t, formats) for t in batch["text"].to_pylist()]
             k = batch.schema.get_field_index("text")
-            yield batch.set_column(k, batch.schema.field(k), pa.array(clean, batch.schema.field(k).type))
+            batch = batch.set_column(k, batch.schema.field(k), pa.array(clean, batch.schema.field(k).type))
+            k = batch.schema.get_field_index("n_chars")
+            if k >= 0:
+                sizes = pa.array([None if t is None else len(t) for t in clean], batch.schema.field(k).type)
+                batch = batch.set_column(k, batch.schema.field(k), sizes)
+            yield batch
 
     return run
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with secrets masked in ``text``; all rows and columns stay."""
+    """``docs`` with secrets masked in ``text``, and ``n_chars`` to match; all rows
+    and columns stay."""
     return docs.mapInArrow(_mask(learn(_found(docs))), docs.schema)
