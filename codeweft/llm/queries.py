@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from codeweft.llm.common import prepare
 from codeweft.llm.mix import MIX_SQL, mix
+from codeweft.llm.near_vectors import near_vectors
 from codeweft.llm.ngram_join import similar_groups
 from codeweft.llm.pack import pack, tokenizer_path
 from codeweft.llm.secrets import scan
@@ -63,6 +64,12 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query()
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors with a cosine of 0.93 or more."""
+    return near_vectors(load(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 4-word shingles overlap by 85 per cent."""
