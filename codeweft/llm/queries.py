@@ -12,8 +12,10 @@ from codeweft.llm.mix import MIX_SQL, mix
 from codeweft.llm.near_vectors import near_vectors
 from codeweft.llm.ngram_join import similar_groups
 from codeweft.llm.pack import pack, tokenizer_path
+from codeweft.llm.quality import quality
 from codeweft.llm.secrets import scan
 from codeweft.llm.toxicity import toxicity
+from codeweft.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -46,6 +48,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(load(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by rules and by its likeness to trusted ones."""
+    return quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @query()
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of the held-out fold are not used."""
@@ -70,6 +78,12 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(load(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back by the salvage reader."""
+    return round_trip(load(spark, sf_dir, "pages"))
+
+
 @query()
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 4-word shingles overlap by 85 per cent."""
