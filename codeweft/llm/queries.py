@@ -13,7 +13,9 @@ from codeweft.llm.near_vectors import near_vectors
 from codeweft.llm.ngram_join import similar_groups
 from codeweft.llm.pack import pack, tokenizer_path
 from codeweft.llm.quality import quality
+from codeweft.llm.quotes import link_quotes
 from codeweft.llm.secrets import scan
+from codeweft.llm.surrogates import replace_entities
 from codeweft.llm.toxicity import toxicity
 from codeweft.llm.warc import round_trip
 
@@ -78,12 +80,24 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(load(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages without quotations, with what they reply to."""
+    return link_quotes(load(spark, sf_dir, "conversations"))
+
+
 @query()
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back by the salvage reader."""
     return round_trip(load(spark, sf_dir, "pages"))
 
 
+@query()
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced; the key is a caller's secret."""
+    return replace_entities(load(spark, sf_dir, "documents"), key="demonstration key")
+
+
 @query()
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 4-word shingles overlap by 85 per cent."""
