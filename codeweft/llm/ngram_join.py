@@ -86,7 +86,7 @@ _SETS = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("chunk", pa.int32()), ("salt", pa.int32()), ("part", pa.binary())]
 )
 _PREFIX = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("sketch", pa.binary())])
-_POSTING = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("pos", pa.int64())])
+_POSTING = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("place", pa.int64())])
 _STORED = pa.schema([("cls", pa.int64()), ("members", pa.binary())])
 
 
@@ -150,7 +150,7 @@ def _prefixes(n: int, num: int, den: int, counts):
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each prefix shingle."""
+    """A narrow row for each prefix shingle; its place is size and position in one."""
     for batch in batches:
         values = [np.frombuffer(t.as_buffer(), np.int64) for t in batch["tokens"]]
         lengths = np.array([len(v) for v in values], np.int64)
@@ -159,7 +159,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = np.concatenate(values)
         row = np.repeat(np.arange(len(values)), lengths)
         pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        yield table(_POSTING, token=tokens, cls=np.asarray(batch["cls"])[row], n=np.asarray(batch["n"])[row], pos=pos)
+        yield table(_POSTING, token=tokens, cls=np.asarray(batch["cls"])[row], place=(np.asarray(batch["n"])[row] << 32) | pos)
 
 
 def _row_cells(ids: pa.Array, cls: np.ndarray) -> np.ndarray:
@@ -203,14 +203,60 @@ def _needed(na, nb, num: int, den: int):
     return -(-num * (na + nb) // (num + den))
 
 
-_OPEN = ("token", "x", "y", "block", "cls", "n", "pos", "root", "sketch", "open")
+_DEALT = ("token", "x", "y", "block", "cls", "place", "root")
+_LIGHT = pa.schema(
+    [(k, pa.int32() if k in ("x", "y", "block") else pa.int64()) for k in _DEALT] + [("a", pa.int64()), ("b", pa.int64())]
+)
+_NEAR = 8
+_FEW_PAIRS = 4
+
+
+def _fit(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs of rows of one group pass the length and the positional filter,
+    are in different components, and belong to this pair of blocks."""
+    n, pos, root, block = rows["place"] >> 32, rows["place"] & 0xFFFFFFFF, rows["root"], rows["block"]
+    a, b = n[i], n[j]
+    most = np.minimum(pos[i], pos[j]) + np.minimum(a - pos[i], b - pos[j])
+    good = (root[i] != root[j]) & (den * np.minimum(a, b) >= num * np.maximum(a, b)) & (most >= _needed(a, b, num, den))
+    return good & ((rows["x"][i] == rows["y"][i]) | (block[i] != block[j]))
+
+
+def _first_look(rows: dict[str, np.ndarray], bounds: np.ndarray, num: int, den: int) -> pa.RecordBatch:
+    """Pairs of groups that have few; of others the rows, to be tried with sketches."""
+    group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    size = np.diff(bounds)[group]
+    left, right = [], []
+    for apart in range(1, _NEAR):  # small groups, all at once
+        i = np.flatnonzero((group[apart:] == group[:-apart]) & (size[apart:] <= _NEAR)) if len(group) > apart else np.zeros(0, np.int64)
+        good = _fit(rows, i, i + apart, num, den)
+        left.append(i[good])
+        right.append(i[good] + apart)
+    later = []
+    for k in np.flatnonzero(np.diff(bounds) > _NEAR).tolist():
+        i, j = np.triu_indices(int(bounds[k + 1] - bounds[k]), 1)
+        i, j = i + bounds[k], j + bounds[k]
+        good = _fit(rows, i, j, num, den)
+        if good.sum() <= _FEW_PAIRS * (bounds[k + 1] - bounds[k]):
+            left.append(i[good])
+            right.append(j[good])
+        else:
+            later.append(np.arange(bounds[k], bounds[k + 1]))
+    i, j = np.concatenate([*left, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*right, np.zeros(0, np.int64)]).astype(np.int64)
+    again = np.concatenate([*later, np.zeros(0, np.int64)]).astype(np.int64)
+    one, other = rows["cls"][i], rows["cls"][j]
+    none = [None] * len(i)
+    pairs = table(_LIGHT, **dict.fromkeys(_DEALT, none), a=np.minimum(one, other), b=np.maximum(one, other))
+    blank = [None] * len(again)
+    kept = table(_LIGHT, **{k: rows[k][again] for k in _DEALT}, a=blank, b=blank)
+    return pa.Table.from_batches([pairs, kept]).combine_chunks().to_batches()[0] if len(i) + len(again) else pairs
 
 
 def _try_group(rows: dict[str, np.ndarray | list], num: int, den: int) -> Iterator[tuple[int, int]]:
     """Pairs of one group that pass all filters, and share no earlier shingle.
 
     Members go by size, so that those of fitting length follow each other."""
-    cls, n, pos, root, block = (rows[k] for k in ("cls", "n", "pos", "root", "block"))
+    cls, root, block = (rows[k] for k in ("cls", "root", "block"))
+    n, pos = rows["place"] >> 32, rows["place"] & 0xFFFFFFFF
     token, across = int(rows["token"][0]), rows["x"][0] != rows["y"][0]
     order = np.lexsort((cls, n))
     cls, n, pos, root, block = cls[order], n[order], pos[order], root[order], block[order]
@@ -254,34 +300,38 @@ def _try_group(rows: dict[str, np.ndarray | list], num: int, den: int) -> Iterat
                 yield (a, b) if a < b else (b, a)
 
 
-def _try_groups(num: int, den: int):
-    """Over rows sorted by group; a group may go on in the next batch."""
+def _try_all(rows: dict[str, np.ndarray | list], bounds: np.ndarray, num: int, den: int) -> pa.RecordBatch:
+    found: list[tuple[int, int]] = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if b - a > 1:
+            found.extend(_try_group({k: v[a:b] for k, v in rows.items()}, num, den))
+    return table(_PAIR, a=[p[0] for p in found], b=[p[1] for p in found])
+
+
+def _grouped(work, num: int, den: int):
+    """Do ``work`` over rows sorted by group; a group may go on in the next batch."""
+
+    def columns(rows: pa.Table) -> dict[str, np.ndarray | list]:
+        return {k: rows[k].to_pylist() if k in ("sketch", "open") else rows[k].to_numpy() for k in rows.column_names}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
         for batch in batches:
             got = pa.Table.from_batches([batch])
             rest = got if rest is None else pa.concat_tables([rest, got])
+            if len(rest) < 2:
+                continue
             keys = [rest[k].to_numpy() for k in ("token", "x", "y")]
             ends = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
             if len(ends):
-                yield _pairs(rest, [0, *ends.tolist()], num, den)
+                yield work(columns(rest.slice(0, int(ends[-1]))), np.concatenate([[0], ends]), num, den)
                 rest = rest.slice(int(ends[-1]))
         if rest is not None and len(rest):
-            yield _pairs(rest, [0, len(rest)], num, den)
+            yield work(columns(rest), np.array([0, len(rest)]), num, den)
 
     return run
 
 
-def _pairs(rows: pa.Table, bounds: list[int], num: int, den: int) -> pa.RecordBatch:
-    columns = {k: rows[k].to_pylist() if k in ("sketch", "open") else rows[k].to_numpy() for k in _OPEN}
-    found = []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        if b - a > 1:
-            found.extend(_try_group({k: v[a:b] for k, v in columns.items()}, num, den))
-    return table(_PAIR, a=[p[0] for p in found], b=[p[1] for p in found])
-
-
 def _suffix_filter(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,20 +400,26 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     links = keep(_verify(tried, texts, first_ids, n, num, den), "links")
 
     roots = components(links)
-    named = shared.select("token", "cls", "n", "pos").join(
+    named = shared.select("token", "cls", "place").join(
         roots.withColumnRenamed("node", "cls"), "cls", "left"
     ).withColumn("root", F.coalesce("root", "cls"))
     many = named.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("size"))
     many = many.where("r0 <> r1").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     left = keep(named.join(many, "token"), "left")
-    # A class's open shingles: no more than its prefix.
-    own = left.groupBy("cls").agg(F.collect_list("token").alias("open"))
-    own = own.join(held.select("cls", "sketch").dropDuplicates(["cls"]), "cls").mapInArrow(_packed, _ddl(_OWN))
     block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    dealt = left.withColumn("block", block).join(own, "cls").withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.withColumn("x", F.least("block", "with")).withColumn("y", F.greatest("block", "with")).select(*_OPEN)
+    dealt = left.withColumn("block", block).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.select("token", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "block", "cls", "place", "root")
     dealt = dealt.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
-    rest = dealt.mapInArrow(_try_groups(num, den), _ddl(_PAIR)).distinct().join(tried, ["a", "b"], "left_anti")
+    light = keep(dealt.mapInArrow(_grouped(_first_look, num, den), _ddl(_LIGHT)), "light")
+    few = _filtered(light.where("a IS NOT NULL").select("a", "b").distinct(), held, num, den)
+    # Groups with many pairs. A class's shingles in such groups: no more than its prefix.
+    many = light.where("a IS NULL").select(*_DEALT)
+    own = many.groupBy("cls").agg(F.collect_set("token").alias("open"))
+    own = own.join(held.select("cls", "sketch").dropDuplicates(["cls"]), "cls").mapInArrow(_packed, _ddl(_OWN))
+    many = many.join(own, "cls").select(*_DEALT, "sketch", "open")
+    many = many.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
+    rest = few.union(many.mapInArrow(_grouped(_try_all, num, den), _ddl(_PAIR))).distinct()
+    rest = rest.join(tried, ["a", "b"], "left_anti")
     rest = keep(rest, "rest")
     if not rest.isEmpty():
         links = links.union(keep(_verify(rest, texts, first_ids, n, num, den), "links"))
