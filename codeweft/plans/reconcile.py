@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -286,12 +288,36 @@ def run_batch(
 ) -> DataFrame:
     """Reconcile, publish, then move the state on; returns the file results.
 
-    The state follows only after the log has the batch. A run that fails in
-    between publishes the same ids again, which changes nothing downstream.
+    Events, next state and results are written first, and one row names them. What
+    is published and committed is what that row names, also when the batch runs
+    again after a failure: then the sources are not looked at anew, so log and
+    state never tell different stories.
     """
-    file_state, elements = state.read("file_state", "elements")
-    done = reconcile(files, file_state, elements, event_time, run_id, force)
-    results = stage(done.results, "results")
-    log.publish(done.events, batch)
-    state.commit({"file_state": done.file_state, "elements": done.elements}, batch)
-    return results
+    planned = f"{state.path}/planned"
+    row = _planned(spark, planned, batch)
+    if row is None:
+        file_state, elements = state.read("file_state", "elements")
+        done = reconcile(files, file_state, elements, event_time, run_id, force)
+        results = f"{state.path}/results/{uuid.uuid4().hex}"
+        done.results.write.parquet(results)
+        folders = state.write({"file_state": done.file_state, "elements": done.elements})
+        plan = [(str(batch), log.write(done.events), folders, results)]
+        spark.createDataFrame(plan, _PLAN).coalesce(1).write.mode("append").json(planned)
+        row = _planned(spark, planned, batch)
+    log.commit(batch, row.events)
+    state.link(row.folders, batch)
+    return spark.read.parquet(row.results)
+
+
+_PLAN = "batch string, events string, folders map<string,string>, results string"
+
+
+def _planned(spark: SparkSession, path: str, batch: str):
+    """The row of a batch that was written before, None if there is none."""
+    try:
+        rows = spark.read.schema(_PLAN).json(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return rows.where(F.col("batch") == str(batch)).first()

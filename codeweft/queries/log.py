@@ -16,7 +16,15 @@ from codeweft.queries.base import load, query, sql_hash, sql_json
 from codeweft.schemas import TOPIC_METADATA, TOPIC_NODES
 from codeweft.session import scratch, stage
 from codeweft.sinks.eventlog import EventLog, judge, keep_in_session, read_jsonl, split_dead_letters, write_jsonl
-from codeweft.sources.eventlog import end_offsets, flatten_metadata, retain, route, sample_per_topic, with_key
+from codeweft.sources.eventlog import (
+    documents_of,
+    end_offsets,
+    read_documents,
+    retain,
+    route,
+    sample_per_topic,
+    split_keyed,
+)
 
 
 def base_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,14 +221,15 @@ _NULLED = ", ".join(
 )
 def flatten_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata records as columns; malformed ones have no key yet."""
-    flat = flatten_metadata(metadata_records(common(spark, sf_dir)))
+    flat = documents_of(read_documents(metadata_records(common(spark, sf_dir))))
     return flat.select("_id", "path", "content_hash", "run_id", "kafka_offset", "kafka_topic", "kafka_timestamp")
 
 
 @query(f"SELECT * FROM ({SQL_DOCS})")
 def drop_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata documents that have a key."""
-    flat = with_key(flatten_metadata(metadata_records(common(spark, sf_dir))))
+    keyed, _ = split_keyed(read_documents(metadata_records(common(spark, sf_dir))))
+    flat = documents_of(keyed)
     return flat.select(*_DOC_COLUMNS, F.col("node_counts")["AST"].cast("bigint").alias("ast_nodes"))
 
 

@@ -86,9 +86,9 @@ _FILES = f"""
     marked AS (SELECT f.*, s.content_hash AS stored_hash, s.content_hash IS DISTINCT FROM f.content_hash AS changed
                FROM files f LEFT JOIN state s USING (file_id)),
     good AS (SELECT c.* FROM cur c JOIN marked m USING (file_id) WHERE m.changed AND NOT m.failed),
-    stale AS (SELECT p.* FROM prev p JOIN marked m USING (file_id) WHERE m.changed
-              AND NOT EXISTS (SELECT 1 FROM good c WHERE c.file_id = p.file_id
-                              AND c.element_type = p.element_type AND c.element_id = p.element_id))
+    stale AS (SELECT p.* FROM prev p JOIN marked m USING (file_id)
+              LEFT JOIN good c ON c.file_id = p.file_id AND c.element_type = p.element_type AND c.element_id = p.element_id
+              WHERE m.changed AND c.file_id IS NULL)
 """
 
 

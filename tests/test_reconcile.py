@@ -94,3 +94,30 @@ def test_retry_of_a_batch_is_ignored(runs, spark):
     log.publish(log.committed(), "base")
     state.commit({"file_state": state.read("file_state")[0]}, "base")
     assert (log.committed().count(), state.version()) == (before, version)
+
+
+def test_a_run_that_died_before_its_state_is_finished_as_it_was(spark, tmp_path, monkeypatch):
+    """The file changes before the batch runs again: the log and the state agree."""
+    state = VersionedTables(spark, f"{tmp_path}/state", rec.STATE_LAYOUT)
+    log = EventLog(spark, f"{tmp_path}/log")
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(VersionedTables, "link", die)
+        with pytest.raises(RuntimeError):
+            rec.run_batch(spark, sources(spark, {"app.py": ONE_LINE}), state, log, "one", NOW, "run")
+    changed = sources(spark, {"app.py": WITH_FUNCTION})
+    rec.run_batch(spark, changed, state, log, "one", NOW, "run")
+    hashes = {json.loads(r.value)["content_hash"] for r in log.committed().collect()}
+    assert {r.content_hash for r in state.read("file_state")[0].collect()} == hashes
+    assert rec.run_batch(spark, changed, state, log, "two", NOW, "run").first().status == "processed"
+
+
+def test_batches_may_have_any_name_and_are_ordered(spark, tmp_path):
+    log = EventLog(spark, f"{tmp_path}/log")
+    names = ["plain", "a=b", "50%25"]
+    for name in names:
+        log.publish(spark.createDataFrame([("t", "k", name, 50)], "topic string, key string, value string, seq bigint"), name)
+    assert [r.value for r in log.committed().orderBy("place").collect()] == names
