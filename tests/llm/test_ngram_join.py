@@ -84,7 +84,7 @@ def test_one_document_of_each_group_stays(docs_of):
 def test_words_over_pieces_and_slices(monkeypatch):
     import codeweft.llm.common as common
 
-    texts = ["aa bb", None, "", "ccc" * 50, " dd  ee ", "B aa"]
+    texts = ["aa bb", None, "", "ccc" * 50, " dd  ee ", "BB aa"]
     whole = word_hashes(pa.array(texts))
     monkeypatch.setattr(common, "_PIECE", 16)
     cut = word_hashes(pa.array(["zz", *texts]).slice(1))

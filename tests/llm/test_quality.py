@@ -1,6 +1,7 @@
 """Quality rules against a plain version, with the same hashes."""
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ WORDS = [f"{a}{b}" for a in ("ten", "ra", "mo", "li", "su") for b in ("der", "wi
 
 
 def text(seed, n, mark=""):
-    return " ".join(WORDS[(seed * 7 + k * k + 3 * k) % len(WORDS)] + mark for k in range(n))
+    return " ".join(w + mark for w in random.Random(seed).choices(WORDS, k=n))
 
 
 ROWS = [(k, text(k, 40 + k)) for k in range(12)] + [

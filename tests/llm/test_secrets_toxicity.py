@@ -55,7 +55,7 @@ def test_masking_keeps_the_rest(docs_of):
     out = secrets.without_secrets(docs_of(*enumerate(TEXTS))).collect()
     rows = {r.doc_id: r for r in out}
     assert rows[0].text is None and rows[1].text == ""
-    assert rows[2].text == f"{secrets.MASK} end" and rows[2].n_chars == len(rows[2].text)
+    assert rows[2].text == f'{secrets.MASK}" end' and rows[2].n_chars == len(rows[2].text)
     assert len(out) == len(TEXTS)
 
 
@@ -75,10 +75,11 @@ def test_held_out_toxicity(llm):
 
 
 def test_toxicity_of_odd_rows(docs_of, llm):
-    words = ["lamp", "river", "stone", "cloud", "window", "garden", "silver", "morning"]
+    words = [a + b for a in ("lam", "riv", "sto", "clo", "win", "gar", "sil", "mor") for b in ("per", "ent", "ile", "ada", "oss", "ick")]
     rng = random.Random(2)
-    rows = [(k, " ".join(rng.choices(words, k=30) + (["nastyword"] if k % 2 else []))) for k in range(80)]
-    labels = llm.createDataFrame([(k, k % 2) for k in range(80)] + [(3, None), (None, 1)], "doc_id bigint, toxic int")
+    middle = [[], ["nastyword"]]
+    rows = [(k, " ".join(rng.choices(words, k=15) + middle[k % 2] + rng.choices(words, k=15))) for k in range(400)]
+    labels = llm.createDataFrame([(k, k % 2) for k in range(400)] + [(3, None), (None, 1)], "doc_id bigint, toxic int")
     rows += [(None, "nastyword nastyword"), (500, None), (501, ""), (502, "river"), (502, "river"), (503, "the nastyword " * 20_000)]
     out = {r.doc_id: r for r in toxicity.toxicity(docs_of(*rows), labels).collect()}
     assert out[None].predicted == 1 and out[None].held_out
