@@ -326,7 +326,7 @@ def committed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = EventLog(spark, scratch(spark, "log"))
     upserts, deletes = records.where("phase = 3"), records.where("phase = 1")
     log.publish(deletes, "deletes")
-    log.write(records, "lost")
+    log.write(records)
     log.publish(upserts, "upserts")
     log.publish(upserts, "upserts")
     return log.committed().select("key", "topic", "value", "batch_number")
