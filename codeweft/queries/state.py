@@ -397,21 +397,24 @@ _PER_FILE = """
     f"""
     WITH {_FILES}, e AS ({_PER_FILE} FROM cur GROUP BY 1), o AS ({_PER_FILE} FROM prev GROUP BY 1)
     SELECT f.file_id, coalesce(
-        o.nodes = e.nodes AND o.edges = e.edges AND s.content_hash = f.content_hash AND
-        CAST(f.file_id AS BIGINT) > 0, FALSE) AS ready
-    FROM files f JOIN e USING (file_id) LEFT JOIN o USING (file_id) LEFT JOIN state s USING (file_id)
+        coalesce(o.nodes, 0) = coalesce(e.nodes, 0) AND coalesce(o.edges, 0) = coalesce(e.edges, 0)
+        AND s.content_hash = f.content_hash AND CAST(f.file_id AS BIGINT) > 0, FALSE) AS ready
+    FROM files f LEFT JOIN e USING (file_id) LEFT JOIN o USING (file_id) LEFT JOIN state s USING (file_id)
     """,
     name="converged",
 )
 def converged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which files show their new state everywhere."""
+    files = order_files(spark, sf_dir)
+
     def counts(df: DataFrame, node: str, edge: str) -> DataFrame:
-        return df.groupBy("file_id").agg(
+        held = df.groupBy("file_id").agg(
             F.count_if(F.col("element_type") == "node").alias(node), F.count_if(F.col("element_type") == "edge").alias(edge)
         )
+        return files.select("file_id").join(held, "file_id", "left").fillna(0, [node, edge])
 
     key = F.col("file_id").cast("bigint")
-    expected = order_files(spark, sf_dir).join(counts(current_elements(spark, sf_dir), "nodes", "edges"), "file_id").select(
+    expected = files.join(counts(current_elements(spark, sf_dir), "nodes", "edges"), "file_id").select(
         "file_id", "nodes", "edges", "content_hash", F.lit(0).alias("previous_offset")
     )
     observed = counts(previous_elements(spark, sf_dir), "file_nodes", "file_edges").join(
