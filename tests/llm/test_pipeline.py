@@ -16,7 +16,7 @@ def run(llm, tmp_path_factory):
         (900_001, clean, "en", base.source, len(clean)),
         (900_002, clean, "en", base.source, len(clean)),
         (900_003, clean + " and a bit", "en", base.source, len(clean) + 10),
-        (900_004, clean[:900] + ' idiot scum token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "en", base.source, 960),
+        (900_004, clean[:500] + ' idiot scum pathetic worthless token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "en", base.source, 960),
         (900_005, 'unlike the others token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and so on for a while', "en", base.source, 90),
     ]
     here = str(tmp_path_factory.mktemp("corpus"))
