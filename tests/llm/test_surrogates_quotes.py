@@ -141,3 +141,42 @@ def test_long_chains_and_texts(llm):
     rows += [(2, 0, "user", "a line\n" * 5000), (2, 1, "user", "> a line\n" * 5000 + "end")]
     got = quotes.link_quotes(llm.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
     assert {(r.conv_id, r.root) for r in got.collect()} == {(1, 0), (2, 0)}
+
+
+PRIVATE = [
+    "555-123-4567", "555.123.4567", "030 1234567", "1-800-555-1234", "555 123 4567", "030/1234567", "(030) 12345678", "020 7946 0958",
+    "01 02 03 04 05", "+49 (0)30 1234567", "2001:db8::8a2e:370:7334", "2001:0DB8:0000:0000:0000:8a2e:0370:7334", "fe80::1", "::ffff:10.1.2.3",
+]
+PERSONS = {
+    "Mr McDonald": ["McDonald"], "Mrs O'Brien": ["Brien"], "Mr J. Smith": [" J.", "Smith"], "Mr Jean-Luc D’Angelo": ["Jean", "Luc", "Angelo"],
+    "Mr John Ronald Reuel Tolkien": ["John", "Ronald", "Reuel", "Tolkien"], "Dr Miller": ["Miller"], "Herr Dr. Schmidt": ["Schmidt"],
+    "Ms J.R. SMITH": ["J.R", "SMITH"], "Mr Vincent van Gogh": ["Vincent", "Gogh"], "Prof. Dr. Ada Byron": ["Ada", "Byron"], "Mr Lord": ["Lord"],
+}
+ORDINARY = [
+    "on 2024-01-02 or 01.02.2024 or 01-02-2024 or 05/06/24 at 09:30:15 and 0900-1700", "a[1::2] std::vector dead::beef 00:1a:2b:3c:4d:5e ::1",
+    "version 1.20.300 of 12 345 678 at 0.123 4567890", "Mr who and Dr of Mr", "Drama Missing Mrs. x",
+]
+
+
+def test_spellings_beyond_the_test_tables(docs_of):
+    rows = rewritten(docs_of(
+        *((k, f"see {p}, now") for k, p in enumerate(PRIVATE)), *((100 + k, f"see {p}'s house") for k, p in enumerate(PERSONS)),
+        *((200 + k, t) for k, t in enumerate(ORDINARY)), (300, "see Mr MacDonald, Mr O'Brien, Mr O’Brien; 555.123.4567"),
+    ))
+    for k, p in enumerate(PRIVATE):
+        r = rows[k]
+        assert p not in r.text and r.n_entities == 1 and r.n_phone == (":" not in p) and r.n_ip == (":" in p), (p, r)
+        assert r.text.startswith("see ") and r.text.endswith(", now"), (p, r)
+        if ":" not in p:
+            assert re.sub(r"\d", "0", r.text[4:-5]) == re.sub(r"\d", "0", p), (p, r)
+    assert rows[10].text == rows[11].text and rows[0].text != rows[2].text
+    assert rows[300].text.split("; ")[1].replace(".", "-") == rows[0].text[4:-5]
+    for k, (p, parts) in enumerate(PERSONS.items()):
+        r = rows[100 + k]
+        assert r.n_name == 1 and r.n_entities == 1 and not [x for x in parts if x in r.text], (p, r)
+        assert r.text.endswith("'s house") and len(r.text.split()) == len(p.split()) + 2, (p, r)
+    assert rows[108].text.split()[3] == "van" and rows[109].text.startswith("see Prof. Dr. ")
+    one, two = re.findall(r"Mr (\w+)[,;]", rows[300].text)[1:]
+    assert one == two
+    for k, t in enumerate(ORDINARY):
+        assert rows[200 + k].text == t, rows[200 + k]
