@@ -7,7 +7,9 @@ member that zero byte is padding, which gzip readers skip.
 
 The reader checks each member's CRC, the record's lengths and its digests. Where a
 check fails it looks for the next gzip member or version line from which a whole
-record can be read, goes on there, and logs the bytes in between as a gap. Files
+record can be read, goes on there, and logs the bytes in between as a gap. The same
+goes for the records inside one member; of a damaged or cut-off member the records in
+the part that unpacks are kept, behind damage only those with a digest. Files
 hold at most ``RECORDS`` records, as each is read as a whole.
 """
 
@@ -160,39 +162,111 @@ def payload_of(fields: dict[str, str], block: bytes) -> bytes | None:
     return block
 
 
-def _one(data: bytes, begin: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records of the member or the plain record at ``begin``, and where it ends."""
-    if not data.startswith(_MAGIC, begin):
-        fields, block, end = _parse(data, begin)
-        return [(fields, block)], end
+def _unpacked(data: bytes, begin: int) -> tuple[bytes, int, str, list[tuple[int, int]]]:
+    """What the gzip member at ``begin`` holds as far as it can be unpacked, where
+    reading it stopped, what is wrong with it, and how far it was unpacked at which
+    places of ``data``."""
     unpacker = zlib.decompressobj(31)
-    parts, read = [], begin
-    try:
-        while read < len(data) and not unpacker.eof:
-            parts.append(unpacker.decompress(data[read : read + _STEP]))
-            read += _STEP
-    except zlib.error as error:
-        raise ValueError("member damaged") from error
-    if not unpacker.eof:
-        raise ValueError("member not ended")
-    whole, out, at = b"".join(parts), [], 0
+    parts, read, size, steps, wrong = [], begin, 0, [(0, begin)], ""
+    step = _STEP
+    while read < len(data) and not unpacker.eof:
+        try:
+            parts.append(unpacker.decompress(data[read : read + step]))
+        except zlib.error:
+            if step == 1:
+                wrong = "member damaged"
+                break
+            # Again up to here, then byte by byte to the damaged one.
+            unpacker, step = zlib.decompressobj(31), 1
+            unpacker.decompress(data[begin:read])
+            continue
+        size += len(parts[-1])
+        read = min(read + step, len(data))
+        steps.append((size, read))
+    if not wrong and not unpacker.eof:
+        wrong = "member not ended"
+    return b"".join(parts), read - len(unpacker.unused_data), wrong, steps
+
+
+@dataclass(frozen=True)
+class _Part:
+    """A record of a member, or a gap if ``fields`` is None, by place when unpacked."""
+
+    begin: int
+    end: int
+    fields: dict[str, str] | None
+    block: bytes
+    reason: str = ""
+
+
+def _parts(whole: bytes, digests: bool) -> Iterator[_Part]:
+    """The records in unpacked data, and the gaps between them. With ``digests``,
+    only records that carry one count."""
+    at, gap, reason = 0, None, ""
     while at < len(whole):
-        fields, block, at = _parse(whole, at)
-        out.append((fields, block))
-    if not out:
-        raise ValueError("member without record")
-    return out, min(read, len(data)) - len(unpacker.unused_data)
+        try:
+            fields, block, end = _parse(whole, at)
+            if digests and not any(fields.get(k, "").startswith("sha1:") for k in _proofs(fields)):
+                raise ValueError("no digest in a damaged member")
+        except ValueError as error:
+            if gap is None:
+                gap, reason = at, str(error)
+            following = _VERSION.search(whole, at + 1)
+            at = following.start() if following else len(whole)
+            continue
+        if gap is not None:
+            yield _Part(gap, at, None, b"", reason)
+            gap = None
+        yield _Part(at, end, fields, block)
+        at = end
+    if gap is not None:
+        yield _Part(gap, len(whole), None, b"", reason)
+
+
+def _proofs(fields: dict[str, str]) -> tuple[str, ...]:
+    """The digests that cover what a record carries."""
+    return ("warc-block-digest",) if fields.get("warc-type") == "revisit" else ("warc-block-digest", "warc-payload-digest")
+
+
+def _one(data: bytes, begin: int) -> tuple[list[Found], int, str]:
+    """The records of the member or the plain record at ``begin`` with the gaps
+    between them, where to go on, and why the bytes from there on can't be read, if
+    so. ValueError if there is no record."""
+    if not data.startswith(_MAGIC, begin):
+        fields, block, end = _parse(data, begin)
+        return [Found(begin, end, fields, block)], end, ""
+    whole, end, wrong, steps = _unpacked(data, begin)
+    parts = list(_parts(whole, wrong == "member damaged"))
+    last = max((p.end for p in parts if p.fields is not None), default=None)
+    if last is None or (wrong == "member damaged" and len(parts) == 1):  # then its header may be what is damaged
+        raise ValueError(wrong or next((p.reason for p in parts), "member without record"))
+    if wrong:  # what follows the last whole record is part of the gap from there on
+        parts = [p for p in parts if p.end <= last]
+    out = [
+        Found(begin, end, p.fields, p.block, f"{p.reason}, unpacked bytes {p.begin} to {p.end}" if p.fields is None else "")
+        for p in parts
+    ]
+    if wrong:
+        end = max(read for size, read in steps if size < last)
+        wrong = f"{wrong}, unpacked bytes from {last}"
+    return out, end, wrong
 
 
 def salvage(data: bytes) -> Iterator[Found]:
-    """All records of an archive that can be read, and the gaps between them."""
+    """All records of an archive that can be read, and the gaps between them.
+
+    A gap inside a member has the member's place, and its reason says which unpacked
+    bytes it is. Behind the last whole record of a damaged or cut-off member the gap
+    begins at the last place up to which that record was not yet unpacked. Digests
+    don't cover a record's own header, so a damaged member with nothing but one record
+    is a gap."""
     at, gap, reason = 0, None, ""
     while at < len(data):
         if data[at] == 0 and gap is None:
             at += 1  # padding
             continue
         try:
-            records, end = _one(data, at)
+            found, end, wrong = _one(data, at)
         except ValueError as error:
             if gap is None:
                 gap, reason = at, str(error)
@@ -202,9 +276,13 @@ def salvage(data: bytes) -> Iterator[Found]:
         if gap is not None:
             yield Found(gap, at, None, b"", reason)
             gap = None
-        for fields, block in records:
-            yield Found(at, end, fields, block)
-        at = end
+        yield from found
+        if wrong:
+            gap, reason = end, wrong
+            following = _START.search(data, max(end, at + 1))
+            at = following.start() if following else len(data)
+        else:
+            at = end
     if gap is not None:
         yield Found(gap, len(data), None, b"", reason)
 

@@ -3,6 +3,8 @@
 import base64
 import gzip
 import hashlib
+import random
+import re
 from collections import defaultdict
 
 from codeweft.llm import warc
@@ -84,3 +86,40 @@ def test_gaps_are_rows(llm, tmp_path):
     assert sorted(r.page_id for r in rows if r.reason is None) == [0, 2, 3, 4, 5]
     assert [(r.begin, r.end) for r in rows if r.reason] == [(len(MEMBERS[0]), len(MEMBERS[0]) + len(MEMBERS[1]))]
     assert all(r.payload == PAYLOADS[r.page_id] for r in rows if r.reason is None)
+
+
+def test_many_records_in_one_member():
+    wrong = RECORDS[2].replace(b"page 2 page 2", b"page 2 page X", 1)
+    data = warc.member(b"".join([*RECORDS[:2], wrong, *RECORDS[3:]]))
+    assert read(data) == ([0, 1, 3, 4, 5], [(0, len(data))])
+    gap = next(f for f in warc.salvage(data) if not f.fields)
+    begin = len(RECORDS[0] + RECORDS[1])
+    assert gap.reason.endswith(f"unpacked bytes {begin} to {begin + len(wrong)}")
+    assert read(data + MEMBERS[0])[0] == [0, 1, 3, 4, 5, 0]
+    short = warc.member(RECORDS[0] + RECORDS[1].replace(b"Content-Length: ", b"Content-Length: 9", 1) + RECORDS[2])
+    assert read(short)[0] == [0, 2]
+
+
+def test_damaged_and_cut_members_keep_their_whole_records():
+    rng = random.Random(3)
+    records = [warc.record(k, "http://x", rng.randbytes(5000), None, False) for k in range(40)]
+    data = warc.member(b"".join(records))
+    for cut in (len(data) // 2, len(data) - 4):
+        good, gaps = read(data[:cut])
+        assert good == list(range(len(good))) and len(good) >= 40 * cut // len(data) - 1
+        assert len(gaps) == 1 and gaps[0][1] == cut and 0 < gaps[0][0] < cut
+    hurt = bytearray(data)
+    hurt[-6] ^= 1  # the CRC
+    assert read(bytes(hurt))[0] == list(range(40))
+    assert read(bytes(hurt) + MEMBERS[5])[0] == [*range(40), 5]
+    hurt = bytearray(data)
+    hurt[len(data) // 2] ^= 1  # one byte of a stored block
+    good, gaps = read(bytes(hurt))
+    assert len(good) == 39 and gaps
+    plain = [re.sub(rb"WARC-(Block|Payload)-Digest: [^\r]*\r\n", b"", r) for r in RECORDS]
+    whole = warc.member(b"".join(plain))
+    assert read(whole) == (list(range(6)), [])
+    assert read(whole[:-6])[0] == list(range(6))
+    hurt = bytearray(whole)
+    hurt[-6] ^= 1  # nothing shows which of them are right
+    assert read(bytes(hurt)) == ([], [(0, len(whole))])
