@@ -83,7 +83,7 @@ def _overlap_bound(a: bytes, b: bytes) -> int | None:
 
 
 _SETS = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("chunk", pa.int32()), ("salt", pa.int32()), ("part", pa.binary())]
+    [("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("chunk", pa.int32()), ("salt", pa.int32()), ("part", pa.binary())]
 )
 _PREFIX = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("sketch", pa.binary())])
 _POSTING = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("place", pa.int64())])
@@ -116,6 +116,7 @@ def _measure(n: int):
             yield table(
                 _SETS,
                 doc_id=batch["doc_id"],
+                h=batch["h"],
                 n=[len(s) for s in sets],
                 cls=[class_of(s) if len(s) else None for s in sets],
                 chunk=[None] * m,
@@ -368,12 +369,18 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     other and is never the smallest one, so its component is null only where no
     row in it has an id. No rows: no rows. Other columns are not read.
     """
+    return _groups(docs, n, num, den).select("doc_id", "n_shingles", "component_id")
+
+
+def _groups(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """:func:`similar_groups` with ``h``, the hash of the row's text, and ``root``, which
+    names its group; null without shingles."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    measured = keep(texts.mapInArrow(_measure(n), _ddl(_SETS)), "sets")
+    measured = keep(texts.withColumn("h", F.xxhash64("text")).mapInArrow(_measure(n), _ddl(_SETS)), "sets")
     counts = share(fold(measured.where("chunk IS NOT NULL"), np.add, "i8", 1 << SKETCH))
-    rows = measured.where("chunk IS NULL").select("doc_id", "n", "cls")
+    rows = measured.where("chunk IS NULL").select("doc_id", "h", "n", "cls")
 
     held = keep(texts.mapInArrow(_prefixes(n, num, den, counts), _ddl(_PREFIX)), "prefixes")
     postings = held.select("cls", "n", "tokens").mapInArrow(_postings, _ddl(_POSTING))
@@ -428,9 +435,9 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     joined = first_ids.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     named = joined.where("copies > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "cls"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_class = named.select("cls", "root").join(least, "root").select("cls", "component_id")
+    by_class = named.select("cls", "root").join(least, "root").select("cls", "root", "component_id")
     return rows.join(by_class, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "h", F.coalesce("root", "cls").alias("root"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
@@ -438,27 +445,28 @@ _FEW = 100_000
 
 
 def first_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` without the documents that have a similar one with a smaller id.
+    """``docs`` without the rows whose text has a similar one with a smaller id.
 
-    Of rows that repeat an id, one stays if any is the first of its group, the
-    smallest by text. Rows without an id, without a text or with an empty one all
-    stay. The ids that go are broadcast only where they are few.
+    One row of each group of similar texts stays: that with the smallest id, and of
+    several with that id the smallest by text. Rows that repeat an id are judged each by
+    its own text, so unlike ones stay or go apart. Rows without an id, without a text or
+    with an empty one all stay. The rows that go are broadcast only where they are few.
     """
-    groups = keep(similar_groups(docs, n, num, den).where("doc_id IS NOT NULL"), "groups")
-    by_id = groups.groupBy("doc_id").agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")
-    )
-    by_id = keep(by_id.where("NOT stays OR rows > 1"), "ids")
-    gone = by_id.where("NOT stays").select("doc_id")
+    groups = _groups(docs, n, num, den).where("doc_id IS NOT NULL AND root IS NOT NULL")
+    groups = keep(groups.select("doc_id", "h", "root", "component_id"), "groups")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    gone = keep(gone, "gone")
     if len(gone.select(F.lit(1)).take(_FEW + 1)) <= _FEW:
         gone = F.broadcast(gone)
-    out = docs.join(gone, "doc_id", "left_anti")
-    again = by_id.where("stays AND rows > 1").select("doc_id")
+    held = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    out = held.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_anti")
+    first = groups.where("doc_id = component_id")
+    again = first.groupBy("doc_id", "root").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id", "root")
+    again = keep(first.join(again, ["doc_id", "root"]).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("root").alias("_root")).distinct(), "again")
     if not again.isEmpty():
-        first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-        one = out.join(again, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-        one = one.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
-        out = out.join(again, "doc_id", "left_anti").union(one)
+        same = (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_h"))
+        one = out.join(again, same).groupBy("_id", "_root").agg(F.min_by(F.struct(*docs.columns), "text").alias("row"))
+        out = out.join(again, same, "left_anti").select(*docs.columns).union(one.select("row.*"))
     return out.select(*docs.columns)
 
 

@@ -96,3 +96,16 @@ def test_short_texts_are_one_shingle():
     sizes = [len(s) for s in shingle_sets(pa.array(["a", "a b c", "a b c d", "a b c d e", "x x x x x x", None]), 4)]
     assert sizes == [1, 1, 1, 2, 1, 0]
     assert np.array_equal(*(shingle_sets(pa.array([t]), 4)[0] for t in ("A b", "a\nB")))
+
+
+def test_unlike_texts_of_one_id_are_judged_apart(docs_of):
+    def text(name):
+        return " ".join(f"{name}{k}" for k in range(40))
+
+    rows = [
+        (3, text("x")), (3, text("a")), (5, text("x")), (6, text("x") + " end"), (7, text("u")), (7, text("x")),
+        (8, None), (8, None), (8, ""), (8, " "), (9, text("v")), (9, text("v")), (9, text("v") + " end"), (None, text("x")),
+    ]
+    got = sorted((str(r.doc_id), r.text or "") for r in nj.first_of_each(docs_of(*rows)).collect())
+    want = [(3, text("x")), (3, text("a")), (7, text("u")), (8, ""), (8, ""), (8, ""), (8, " "), (9, text("v")), (None, text("x"))]
+    assert got == sorted((str(i), t) for i, t in want)
