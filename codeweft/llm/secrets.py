@@ -3,13 +3,16 @@
 Fixed patterns find labelled credentials. For each kind a probabilistic automaton is
 inferred from them: the prefix tree of the values is folded, breadth first, merging
 states whose outgoing symbols and ends don't differ by more than chance (Hoeffding
-bounds, applied to all successors). One more is inferred from other long tokens of
-the corpus. Every long token is then scored by the likeliest credential format
-against that background; what stands out is a span of kind ``grammar``.
-
-Automata are fit on bounded samples: ``SAMPLE`` distinct values of each kind, those
-with the smallest hash, and their first ``LONGEST`` characters. Scoring takes whole
-tokens, and all of them.
+bounds, applied to all successors). Three more are inferred from other tokens of the
+corpus: from long ones, from short or dotted ones of letters alone, and from such ones
+with digits or signs, as numbers and addresses are rare among words. Every token of the labelled
+values' alphabet and least length is then scored by the likeliest credential format
+against its background; what stands out is a span of kind ``grammar``. Dotted tokens
+are scored as a whole and by part, and the better of the two counts.
+
+Automata are fit on bounded samples: ``SAMPLE`` distinct values of each kind (twice as
+many of each background), those with the smallest hash, and their first ``LONGEST``
+characters. Scoring takes whole tokens, and all of them.
 """
 
 from __future__ import annotations
@@ -36,7 +39,12 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+LEAST = 8  # characters of a labelled value
+_TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
+_PART = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+_LONG, _SHORT, _MIXED = 3, 4, 5  # kinds of candidates, by background
+_LONG_FROM = 16
+_KNOWN = 1 << 16
 _SYMBOLS = 67
 _LITTLE = 0.05
 _CONFIDENCE = math.sqrt(0.5 * math.log(2 / 0.01))
@@ -148,22 +156,52 @@ class Automaton:
 class Formats:
     """Automata of the credentials' kinds and of the background."""
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]):
+    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str], short: list[str] | None = None, mixed: list[str] | None = None):
         self.kinds = [Automaton(values) for _, values in sorted(labelled.items()) if values]
         self.background = Automaton(ordinary)
+        self.others = {k: Automaton(values) for k, values in ((_SHORT, short), (_MIXED, mixed)) if values}
+        self.known: dict[tuple[str, int], float] = {}
 
-    def score(self, value: str) -> float:
+    def score(self, value: str, kind: int = _LONG) -> float:
         """Nats by which the likeliest credential format beats the background."""
         if not self.kinds:
             return -math.inf
-        return max(k.log_likelihood(value) for k in self.kinds) - self.background.log_likelihood(value)
+        got = self.known.get((value, kind))
+        if got is None:
+            background = self.others.get(kind, self.background)
+            got = max(k.log_likelihood(value) for k in self.kinds) - background.log_likelihood(value)
+            if len(value) < _LONG_FROM:  # words, which come again
+                if len(self.known) >= _KNOWN:
+                    self.known.clear()
+                self.known[value, kind] = got
+        return got
+
+    def standing_out(self, found: list[Span]) -> list[Span]:
+        """Those of a text's candidates that stand out; of a dotted token the whole if
+        no part of it scores better, else its parts."""
+        scores = [self.score(s[3], s[1]) for s in found]
+        good = [k for k, score in enumerate(scores) if score > MARGIN]
+        wholes = []
+        for k in good:
+            start, _, end, value = found[k]
+            if "." in value and scores[k] >= max(
+                (scores[j] for j in good if j != k and start <= found[j][0] and found[j][2] <= end), default=-math.inf
+            ):
+                wholes.append(k)
+        out = []
+        for k in good:
+            start, _, end, value = found[k]
+            inside = any(found[w][0] <= start and end <= found[w][2] for w in wholes if w != k)
+            if k in wholes or ("." not in value and not inside):
+                out.append((start, _LONG, end, value))
+        return out
 
 
 def base_spans(text: str) -> list[Span]:
     """The fixed patterns' spans by start, then kind; each kind on its own."""
     out: list[Span] = []
     if ":" in text or "=" in text:
-        out += [(m.start(), 0, m.end(), m[1]) for m in _ASSIGN.finditer(text) if len(m[1]) >= 8]
+        out += [(m.start(), 0, m.end(), m[1]) for m in _ASSIGN.finditer(text) if len(m[1]) >= LEAST]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end(), m[0]) for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
     out += [(m.start(), 2, m.end(), m[0]) for m in _HEX.finditer(text)]
@@ -171,12 +209,25 @@ def base_spans(text: str) -> list[Span]:
 
 
 def candidates(text: str, base: list[Span]) -> list[Span]:
-    """Long tokens that no base span touches."""
-    return [
-        (m.start(), 3, m.end(), m[0])
-        for m in _TOKEN.finditer(text)
-        if not any(s < m.end() and m.start() < e for s, _, e, _ in base)
-    ]
+    """Tokens of credentials' characters that no base span touches: parts between dots,
+    and dotted ones as a whole without dots at their ends."""
+    out = []
+    for run in _TOKEN.finditer(text):
+        begin, value = run.start(), run[0]
+        spans = [(begin + m.start(), begin + m.end()) for m in _PART.finditer(value)]
+        whole = value.strip(".")
+        if "." in whole and len(whole) >= LEAST:
+            begin += len(value) - len(value.lstrip("."))
+            spans.append((begin, begin + len(whole)))
+        for start, end in spans:
+            if not any(s < end and start < e for s, _, e, _ in base):
+                token = text[start:end]
+                if "." not in token and len(token) >= _LONG_FROM:
+                    kind = _LONG
+                else:
+                    kind = _SHORT if token.replace(".", "").isalpha() else _MIXED
+                out.append((start, kind, end, token))
+    return out
 
 
 def written(spans: list[Span]) -> str:
@@ -211,12 +262,13 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(found: DataFrame) -> Formats:
     """Automata from samples of the values in ``found``."""
     values = found.select(F.explode(F.arrays_zip("kinds", "texts")).alias("s")).select("s.kinds", "s.texts").distinct()
+    values = keep(values, "values")
     sides: dict[int, list[str]] = {}
-    for k in range(len(KINDS)):
+    for k in range(_MIXED + 1):
         rows = values.where(F.col("kinds") == k).select("texts", F.xxhash64("texts").alias("turn"))
-        rows = rows.orderBy("turn", "texts").limit(SAMPLE * (2 if k == 3 else 1)).collect()
+        rows = rows.orderBy("turn", "texts").limit(SAMPLE * (2 if k >= _LONG else 1)).collect()
         sides[k] = sorted(r["texts"] for r in rows)
-    return Formats({KINDS[k]: sides[k] for k in range(3)}, sides[3])
+    return Formats({KINDS[k]: sides[k] for k in range(_LONG)}, sides[_LONG], sides[_SHORT], sides[_MIXED])
 
 
 _SPANS = pa.schema(
@@ -238,8 +290,8 @@ def _judge(formats: Formats):
             out: dict[str, list] = {f.name: [] for f in _SPANS}
             for row in batch.to_pylist():
                 spans = list(zip(row["starts"], row["kinds"], row["ends"], row["texts"], strict=True))
-                base = [s for s in spans if s[1] < 3]
-                kept = base + [s for s in spans if s[1] == 3 and formats.score(s[3]) > MARGIN]
+                base = [s for s in spans if s[1] < _LONG]
+                kept = base + formats.standing_out([s for s in spans if s[1] >= _LONG])
                 out["doc_id"].append(row["doc_id"])
                 for k, kind in enumerate(KINDS):
                     out[f"n_{kind}"].append(sum(s[1] == k for s in kept))
@@ -271,7 +323,7 @@ def scan(docs: DataFrame) -> DataFrame:
 def masked(text: str, formats: Formats) -> str:
     """The text with every span replaced by ``MASK``; spans that touch are one."""
     base = base_spans(text)
-    spans = base + [s for s in candidates(text, base) if formats.score(s[3]) > MARGIN]
+    spans = base + formats.standing_out(candidates(text, base))
     out, at = [], 0
     for start, _, end, _ in sorted(spans):
         if start >= at:

@@ -89,3 +89,22 @@ def test_toxicity_of_odd_rows(docs_of, llm):
     assert left.where("doc_id IN (500, 501, 502)").count() == 4
     nothing = llm.createDataFrame([], "doc_id bigint, toxic int")
     assert {r.predicted for r in toxicity.toxicity(docs_of(*rows), nothing).collect()} == {0}
+
+
+def test_short_and_dotted_tokens_are_scored():
+    rng = random.Random(4)
+
+    def short():
+        return "".join(rng.choices("0123456789abcdef", k=12))
+
+    def dotted():
+        return ".".join("".join(rng.choices("ABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=7)) for _ in range(3))
+
+    words = ["".join(rng.choices(["th", "er", "on", "an", "re", "ing", "ed"], k=6)) for _ in range(900)]
+    formats = secrets.Formats({"assign": [*(short() for _ in range(300)), *(dotted() for _ in range(300))]}, words, words)
+    one, two = short(), dotted()
+    text = f"the {words[0]} of {one} or {two}. {words[1]}.{words[2]} end"
+    found = secrets.candidates(text, secrets.base_spans(text))
+    assert {one, two, words[0], words[1], words[2], f"{words[1]}.{words[2]}"} <= {s[3] for s in found}
+    assert [text[a:b] for a, _, b, _ in formats.standing_out(found)] == [one, two]
+    assert secrets.masked(text, formats) == text.replace(one, secrets.MASK).replace(two, secrets.MASK)
