@@ -12,7 +12,8 @@ often, ``MEET`` at most. Near copies mostly meet the same ones, so links found
 there connect groups of thousands with a few comparisons each. Then pairs that share a prefix shingle and still are in different components
 are tried: all of them pass the length, positional and suffix filters where they
 meet, and only what is left is verified, once, at the first shingle they share. So
-no link between components is lost.
+no link between components is lost. The output is components: links inside one are not
+listed, and most of them not verified.
 
 Hot groups: copies collapse in partial aggregates; leaders are minima, which
 combine on the map side; joins are equi joins whose large side AQE splits; a shingle
