@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from codeweft.llm.common import prepare
+from codeweft.llm.divergence import DIVERGENCE_SQL, divergence
+from codeweft.llm.filter_audit import FILTER_AUDIT_SQL, filter_audit
 from codeweft.llm.mix import MIX_SQL, mix
 from codeweft.llm.near_vectors import near_vectors
 from codeweft.llm.ngram_join import similar_groups
@@ -15,6 +17,7 @@ from codeweft.llm.pack import pack, tokenizer_path
 from codeweft.llm.quality import quality
 from codeweft.llm.quotes import link_quotes
 from codeweft.llm.secrets import scan
+from codeweft.llm.string_kernel import languages
 from codeweft.llm.surrogates import replace_entities
 from codeweft.llm.toxicity import toxicity
 from codeweft.llm.warc import round_trip
@@ -104,6 +107,24 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(load(spark, sf_dir, "documents"))
 
 
+@query()
+def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by string kernels."""
+    return languages(load(spark, sf_dir, "documents"))
+
+
+@query(DIVERGENCE_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are apart, and by which terms."""
+    return divergence(load(spark, sf_dir, "documents"))
+
+
+@query(FILTER_AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, by language."""
+    return filter_audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline: toxicity, near duplicates, secrets, mix, packing."""
