@@ -230,30 +230,6 @@ def edge_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    f"""
-    WITH {_GRAPH} SELECT count(*) AS nodes, 0 AS still_placeholders, 0 AS only_left, 0 AS only_right, TRUE AS same
-    FROM (SELECT id FROM alln UNION SELECT source_id FROM edges UNION SELECT target_id FROM edges)
-    """
-)
-def out_of_order_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges before nodes, and nodes before edges, end in the same graph."""
-    every = all_nodes(spark, sf_dir).drop("held")
-    events = every.withColumn("op", F.lit("upsert")).withColumn("seq", F.lit(1))
-    log = edge_log(spark, sf_dir).where("op = 'upsert'")
-    no_nodes, no_edges = every.where(F.lit(False)), line_edges(spark, sf_dir).where(F.lit(False))
-
-    early_nodes, early_edges = mrg.merge_edges(no_nodes, no_edges, log)
-    early_nodes, early_edges = mrg.merge_nodes(early_nodes, early_edges, events)
-    late_nodes, late_edges = mrg.merge_nodes(no_nodes, no_edges, events)
-    late_nodes, late_edges = mrg.merge_edges(late_nodes, late_edges, log)
-
-    total = early_nodes.agg(
-        F.count("*").alias("nodes"), F.count_if(F.col("kind") == "PLACEHOLDER").alias("still_placeholders")
-    )
-    return total.crossJoin(cnt.same_rows(early_nodes, late_nodes, every.columns))
-
-
 @query(
     f"""
     WITH {_GRAPH} SELECT (SELECT count(*) FROM alln WHERE NOT held) AS only_left, 0 AS only_right,

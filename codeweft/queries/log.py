@@ -111,10 +111,14 @@ def route_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_events(common(spark, sf_dir))
+
+
+def damaged_events(rows: DataFrame) -> DataFrame:
     """Node events of which each event type but one is broken in its own way."""
     event = graph_event_id(F.lit("node"), F.lit("upsert"), "file_id", "content_hash")
     made = envelope(
-        common(spark, sf_dir).withColumnRenamed("event_id", "number"), "node", "upsert", F.col("file_id"),
+        rows.withColumnRenamed("event_id", "number"), "node", "upsert", F.col("file_id"),
         event, F.struct(F.col("file_id").alias("id")), ["number", "event_type"],
     )
     kind, value = F.col("event_type"), F.col("value")
@@ -133,11 +137,11 @@ def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_REASONS = """CASE event_type WHEN 'click' THEN 'op' WHEN 'view' THEN 'extra field,schema_version'
+REASONS = """CASE event_type WHEN 'click' THEN 'op' WHEN 'view' THEN 'extra field,schema_version'
               WHEN 'signup' THEN 'not an object' WHEN 'purchase' THEN 'repo_id' ELSE '' END"""
 
 
-@query(f"SELECT event_id, {_REASONS} AS reasons FROM events")
+@query(f"SELECT event_id, {REASONS} AS reasons FROM events")
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broken contract rules of every record."""
     reasons = F.array_join(violations(F.col("value"), "node"), ",")
@@ -165,7 +169,7 @@ def key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     SELECT event_id, CASE WHEN event_type = 'error' THEN 'good' ELSE 'dead' END AS route,
            CASE WHEN event_type = 'error' THEN '' WHEN event_type IN ('purchase', 'signup') THEN
-             array_to_string(list_sort(['key', {_REASONS}]), ',') ELSE {_REASONS} END AS reasons
+             array_to_string(list_sort(['key', {REASONS}]), ',') ELSE {REASONS} END AS reasons
     FROM events
     """
 )

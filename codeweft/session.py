@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Streams keep state on disk, not on the heap; keyed state needs this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Bucketed tables are written without a sort.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }

@@ -55,12 +55,18 @@ def documents_of(read: DataFrame) -> DataFrame:
     return flat.withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("string"))
 
 
+def mark_unkeyed(read: DataFrame) -> DataFrame:
+    """Add ``reasons`` to :func:`read_documents`: a document has to have a key, which
+    malformed JSON has not."""
+    keyed = F.col(f"document.{KEY}").isNotNull()
+    return read.withColumn("reasons", F.when(keyed, F.array().cast("array<string>")).otherwise(F.array(F.lit("no document key"))))
+
+
 def split_keyed(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose document has a key, and the log rows of those that have none,
-    malformed JSON among them, with the reason."""
-    keyed = F.col(f"document.{KEY}").isNotNull()
-    lost = read.where(~keyed).drop("document").withColumn("reasons", F.array(F.lit("no document key")))
-    return read.where(keyed), lost
+    with the reason."""
+    marked = mark_unkeyed(read)
+    return marked.where(F.size("reasons") == 0).drop("reasons"), marked.where(F.size("reasons") > 0).drop("document")
 
 
 def route(events: DataFrame) -> tuple[DataFrame, DataFrame]:
