@@ -180,7 +180,7 @@ def _failure(file_id: str, error: Exception) -> tuple:
     return tuple(row.values())
 
 
-def _analyse(file_id: str, path: str, content: bytes, lossy: bool) -> list[tuple]:
+def analyse(file_id: str, path: str, content: bytes, lossy: bool) -> list[tuple]:
     try:
         text = content.decode("utf-8", errors="replace" if lossy else "strict")
         return list(_rows(file_id, ast.parse(text, filename=path, type_comments=True)))
@@ -204,7 +204,7 @@ def extract(files: DataFrame, lossy: bool = False) -> DataFrame:
         held: list[tuple] = []
         for batch in batches:
             for file_id, path, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held += _analyse(file_id, path, content, lossy)
+                held += analyse(file_id, path, content, lossy)
                 while len(held) >= _FLUSH_ROWS:
                     yield _batch(held[:_FLUSH_ROWS])
                     held = held[_FLUSH_ROWS:]

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codeweft.functions.sql import register
 from codeweft.operators import calls as call_ops
 from codeweft.operators import graph as gr
 from codeweft.operators.cfg import cfg_edges as control_edges
@@ -21,12 +22,17 @@ from codeweft.operators.reach import reaching
 from codeweft.operators.warn import warnings as found_warnings
 from codeweft.plans import reconcile as rec
 from codeweft.plans.analyze import analyze, parse
+from codeweft.plans.follow import follow
 from codeweft.queries.base import load, query, sql_hash
 from codeweft.queries.templates import CALLS, DATA, FLOW, NODES, TEMPLATES
+from codeweft.schemas import METADATA
 from codeweft.session import in_place, scratch, stage
+from codeweft.sinks.buckets import BucketedTable
 from codeweft.sinks.eventlog import EventLog
+from codeweft.sinks.graph import GraphTables
 from codeweft.sinks.tables import VersionedTables
 from codeweft.sources.files import as_files, scan_tree, write_tree
+from codeweft.streaming.jobs import Verdicts
 
 RUN_TIME, RUN_ID = "2024-06-01T00:00:00Z", "run-1"
 
@@ -115,6 +121,20 @@ def syntax_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gr.ast_nodes(_syntax(spark, sf_dir))
 
 
+@query(f"WITH {_CODE} {_NODE_ROWS} WHERE kind = 'AST'", name="file_nodes")
+def nodes_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The syntax nodes again, by the table function in a lateral join."""
+    register(spark)
+    part_files(spark, sf_dir).createOrReplaceTempView("files")
+    return spark.sql(
+        """
+        SELECT node_id(f.file_id, n.path, n.ast_type) AS id, 'AST' AS kind, n.ast_type, f.file_id, n.path AS structural_path,
+               n.line, n.column, n.end_line, n.end_column, substring(n.label, 1, 200) AS name, n.value
+        FROM files f, LATERAL file_nodes(f.content, f.path) n WHERE n.exception_type IS NULL
+        """
+    )
+
+
 @query(f"WITH {_CODE} {_EDGE_ROWS} WHERE kind = 'AST'", name="ast_edges")
 def syntax_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parent-to-child edges."""
@@ -307,6 +327,35 @@ def incremental_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.drop("file_id", "content_hash")
 
 
+# The code of the second version: large parts move on by one template.
+_CODE_TWO = _CODE.replace("p_size % 5", "(p_size + CASE WHEN p_size > 25 THEN 1 ELSE 0 END) % 5")
+
+
+@query(
+    f"""
+    WITH {_CODE_TWO} SELECT 'node' AS part, id, kind FROM nodes UNION ALL SELECT 'edge', id, kind FROM edges
+    UNION ALL SELECT 'document', file_id, CASE WHEN t = 4 THEN 'error' ELSE 'ok' END FROM files
+    """
+)
+def log_to_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain: files of two versions through runs and the log to graph tables
+    and documents; then the whole log is applied once more, which changes nothing. What
+    is left is the graph of version two."""
+    root = scratch(spark, "chain")
+    state, log = VersionedTables(spark, f"{root}/state", rec.STATE_LAYOUT), EventLog(spark, f"{root}/log")
+    graph = GraphTables(spark, f"{root}/graph", buckets=16)
+    documents, verdicts = BucketedTable(spark, f"{root}/documents", METADATA, "_id", 16), Verdicts(spark, f"{root}/verdicts")
+    step = F.when(F.col("p_size") > 25, 1).otherwise(0)
+    at = -1
+    for name, files in (("first", part_files(spark, sf_dir)), ("second", part_files(spark, sf_dir, step))):
+        rec.run_batch(spark, files, state, log, name, RUN_TIME, name)
+        at = follow(log, graph, documents, verdicts, at)
+    follow(log, graph, documents, verdicts)
+    rows = graph.nodes().select(F.lit("node").alias("part"), "id", "kind")
+    rows = rows.unionByName(graph.edges().select(F.lit("edge").alias("part"), "id", "kind"))
+    return rows.unionByName(documents.read().select(F.lit("document").alias("part"), F.col("_id").alias("id"), F.col("parse_status").alias("kind")))
+
+
 @query(
     """
     WITH e AS (SELECT conv_id, turn, role, CASE role WHEN 'assistant' THEN 'user' ELSE 'assistant' END AS variable FROM conversations)
