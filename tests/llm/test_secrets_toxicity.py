@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import zlib
+from collections import Counter
 
 import duckdb
 
@@ -74,6 +76,57 @@ def test_held_out_toxicity(llm):
     assert test.predicted[test.toxic == 0].mean() <= 0.03
 
 
+def plain_words(texts):
+    """Training words of (toxic, text) rows, by loops and counters."""
+    seen = {0: set(), 1: set()}
+    for label, text in texts:
+        words = ["", *(w[: toxicity.LONGEST] for w in re.findall(r"[^\W\d_]+", text.lower())), ""]
+        seen[label] |= set(zip(words, words[1:], words[2:]))
+    sides = {k: [w for w in v if w[1]] for k, v in seen.items()}
+    starts = [Counter(w[1][:k] for w in sides[y] for k in range(4, min(len(w[1]), 12) + 1)) for y in (0, 1)]
+    share = len(sides[1]) / (len(sides[0]) + len(sides[1]))
+
+    def tells(word):
+        for k in range(4, min(len(word), 12) + 1):
+            own, both = starts[1][word[:k]], starts[0][word[:k]] + starts[1][word[:k]]
+            if own >= 5 and own - both * share > 8 * (both * share * (1 - share)) ** 0.5:
+                return True
+        return False
+
+    return sorted(w[1] for w in sides[1] if tells(w[1])), sorted(w[1] for w in sides[0] if not tells(w[1]))
+
+
+def test_training_words_against_plain(llm):
+    rng = random.Random(3)
+    words = ["a", "été", "x" * 90, "Windowed", *("".join(rng.choices("bdfglmnprstvaeiou", k=rng.randrange(2, 9))) for _ in range(200))]
+    texts = [(k % 2, " ".join(rng.choices(words, k=30) + ["nastyword", "1 2"] * (k % 2 * 2) + rng.choices(words, k=9))) for k in range(160)]
+    texts += [(0, ""), (1, "one"), (0, "12"), (1, texts[1][1])]
+    rows = llm.createDataFrame(texts, "toxic int, text string").repartition(3)
+    toxic, ordinary = toxicity.training_words(rows)
+    assert (sorted(toxic), sorted(ordinary)) == plain_words(texts) and "nastyword" in toxic
+    assert toxicity.training_words(rows.where("toxic = 0")) is None
+
+
+def test_the_sample_holds_an_id_once_and_no_held_out_one(docs_of, llm, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 20)
+    rows = [(k, f"text {k}") for k in range(100)] + [(7, "another text"), (7, "a third one")] * 30 + [(8, None), (None, "no id")]
+    labels = llm.createDataFrame([(k, k % 2) for k in range(100)] * 2 + [(None, 1)], "doc_id bigint, toxic int")
+    picked = toxicity.sample(docs_of(*rows), labels).collect()
+    ids = [r.doc_id for r in picked]
+    assert len(ids) == len(set(ids)) and sum(r.toxic for r in picked) <= 20 and len(picked) <= 40
+    assert all(zlib.crc32(str(i).encode()) % 5 for i in ids) and {r.part for r in picked} == set(range(toxicity.PARTS))
+    assert {r.text for r in picked if r.doc_id == 7} <= {"a third one"}
+
+
+def test_empty_tables_and_clashing_columns(llm):
+    docs = llm.createDataFrame([], "doc_id bigint, text string, toxic int, part boolean, word string")
+    labels = llm.createDataFrame([(1, 1, "x")], "doc_id bigint, toxic int, text string")
+    assert toxicity.toxicity(docs, labels).collect() == [] and toxicity.without_toxic(docs, labels).columns == docs.columns
+    docs = llm.createDataFrame([(k, f"word{'abcd'[k % 4]} x", 5, True, "w") for k in range(40)], docs.schema)
+    labels = llm.createDataFrame([(k, k % 2, "clash") for k in range(40)], labels.schema)
+    assert toxicity.toxicity(docs, labels).count() == 40 and toxicity.without_toxic(docs, labels).columns == docs.columns
+
+
 def test_toxicity_of_odd_rows(docs_of, llm):
     words = [a + b for a in ("lam", "riv", "sto", "clo", "win", "gar", "sil", "mor") for b in ("per", "ent", "ile", "ada", "oss", "ick")]
     rng = random.Random(2)

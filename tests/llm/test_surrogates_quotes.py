@@ -4,6 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from codeweft.llm import quotes
 from codeweft.llm import surrogates as s
 
@@ -49,6 +51,15 @@ def test_surrogates_stay_distinct_when_they_are_few(docs_of):
     assert rows[50].text.split() == [new[0], new[25]]
 
 
+def test_dense_formats_stay_distinct_or_are_refused(docs_of):
+    dense = [(k, f"+1 {k // 100:02d} {k % 100:02d}") for k in range(6000)]
+    with pytest.raises(ValueError, match="phone format"):
+        s.replace_entities(docs_of(*dense), "key")
+    some = [(k, f"+1 {k // 100:02d} {k % 100:02d}") for k in range(0, 10_000, 5)]
+    out = [r.text for r in s.replace_entities(docs_of(*some), "key").collect()]
+    assert len(set(out)) == len(some) == 2000 and not set(out) & {t for _, t in some}
+
+
 def test_no_documents(docs_of):
     assert s.replace_entities(docs_of((1, "x")).where("false"), "k").count() == 0
     odd = docs_of((1, "a@bb.com")).withColumns({c: F.lit(1) for c in ("found", "h", "kind", "value", "attempt")})
