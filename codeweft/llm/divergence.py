@@ -46,7 +46,7 @@ SCALE = 1_000_000_000
 ADDED = 5
 TOP = 50
 TILE = 1024
-_BLOCK = 1 << 18
+_BLOCK = 1 << 15
 _ENTRIES = 200_000
 _PIECE = 1 << 20
 _ROWS = 50_000

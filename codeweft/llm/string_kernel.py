@@ -47,6 +47,7 @@ FOLDS, OUT = 4, 2
 UNKNOWN = "und"
 _PIECE = WINDOW << 10
 _ROWS = 256
+_PARTS = 64
 _M = np.uint32(0x9E3779B1)
 
 
@@ -218,8 +219,10 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
     known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     known = known.withColumn("digest", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy("digest")
-    chosen = known.select("lang", "digest").distinct().withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= SAMPLE)
+    chosen = known.select("lang", "digest").distinct().withColumn("part", F.pmod("digest", F.lit(_PARTS)))
+    for by in (["lang", "part"], ["lang"]):  # a language's texts never meet in one task, only the first of each part
+        order = Window.partitionBy(*by).orderBy("digest")
+        chosen = chosen.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= SAMPLE)
     chosen = keep(chosen.select("lang", "digest"), "language_sample")
     rows = known.join(F.broadcast(chosen), ["lang", "digest"]).mapInArrow(_spread, "lang string, digest bigint, windows array<string>")
     rows = rows.groupBy("lang", "digest").agg(F.min("windows").alias("windows"))

@@ -60,6 +60,35 @@ def test_dense_formats_stay_distinct_or_are_refused(docs_of):
     assert len(set(out)) == len(some) == 2000 and not set(out) & {t for _, t in some}
 
 
+def plain_luhn(digits):
+    return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def plain_iban(text):
+    text = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+
+
+def test_formats_stay_valid(docs_of):
+    cards = ["4111 1111 1111 1111", "5500005555555559", "378282246310005", "4111111111111112"]
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "DE00 3704 0044 0532 0130 00"]
+    socials = ["123-45-6789", "899-01-0001", "665-99-9999"]
+    phones = ["+49 30 1234567", "+1 555 123 4567", "+7 495 1234567", "+358 9 1234567", "+420 123 456 789", "+44 20 7946 0958"]
+    texts = [f"{kind} {x} end" for kind, xs in (("c", cards), ("i", ibans), ("s", socials), ("p", phones)) for x in xs]
+    for key in ("k", "another", "third"):
+        got = [r.text.split(" ", 1)[1][:-4] for r in sorted(s.replace_entities(docs_of(*enumerate(texts)), key).collect(), key=lambda r: r.doc_id)]
+        new_cards, new_ibans, new_socials, new_phones = got[:4], got[4:7], got[7:10], got[10:]
+        assert not set(got) & {*cards, *ibans, *socials, *phones}
+        assert [plain_luhn(re.sub(r"\D", "", c)) for c in new_cards][:3] == [True] * 3
+        assert [plain_iban(i) for i in new_ibans][:2] == [True] * 2 and [i[:2] for i in new_ibans] == ["DE", "GB", "DE"]
+        for n in new_socials:
+            area, group, serial = n.split("-")
+            assert area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
+        codes = ["+49 ", "+1 ", "+7 ", "+358 ", "+420 ", "+44 "]
+        assert all(n.startswith(c) for n, c in zip(new_phones, codes, strict=True))
+        assert [re.sub(r"\d", "0", a) for a in new_phones] == [re.sub(r"\d", "0", a) for a in phones]
+
+
 def test_no_documents(docs_of):
     assert s.replace_entities(docs_of((1, "x")).where("false"), "k").count() == 0
     odd = docs_of((1, "a@bb.com")).withColumns({c: F.lit(1) for c in ("found", "h", "kind", "value", "attempt")})
