@@ -49,7 +49,7 @@ from codeweft.llm.common import (
 SKETCH = 20
 _CHUNKS = 16
 LEADERS = 4
-MEET = 24
+MEET = 12
 BLOCK = 1024
 _FLUSH = 1 << 21
 
