@@ -14,7 +14,7 @@ from codeweft.functions.ids import error_id, graph_event_id, metadata_event_id
 from codeweft.operators.graph import union_all
 from codeweft.operators.merge import replace_rows
 from codeweft.operators.metadata import documents, file_facts
-from codeweft.operators.ordered import ordinal
+from codeweft.operators.ordered import ordinal_by_size
 from codeweft.plans.analyze import analyze
 from codeweft.schemas import (
     EDGE,
@@ -91,10 +91,11 @@ def publish_order(events: DataFrame) -> DataFrame:
 
     ``events(file_id, phase, key)``: deletes of edges, then of nodes, the
     error, upserts of nodes, then of edges, the metadata; ids in order within
-    each. A file with very many events is numbered in ranges of its keys.
+    each. A file with very many events is numbered in ranges of its keys. The
+    events are read more than once, so they are stored first.
     """
     leading = F.concat(F.col("phase").cast("string"), F.substring("key", 1, 3))
-    return ordinal(events, ["file_id"], ["phase", "key"], "seq", cut_by=leading)
+    return ordinal_by_size(stage(events, "events"), ["file_id"], ["phase", "key"], "seq", leading)
 
 
 def envelope(
@@ -104,35 +105,42 @@ def envelope(
 
     The value's keys are in name order and nothing is left out.
     """
+    return df.select("file_id", *[c.alias(n) for n, c in _event(payload, op, key, event_id, body).items()], *carry)
+
+
+def _event(payload: str, op: str, key: Column, event_id: Column, body: Column) -> dict[str, Column]:
     given = {"schema_version": F.lit(SCHEMA_VERSION), "event_id": event_id, "op": F.lit(op), payload: body}
     fields = [given.get(n, F.col(n)).alias(n) for n in sorted((*ENVELOPE_FIELDS, payload))]
-    return df.select(
-        "file_id",
-        F.lit(_TOPIC_OF[payload]).alias("topic"),
-        key.alias("key"),
-        F.lit(PHASES[payload, op]).alias("phase"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
-        *carry,
-    )
+    return {
+        "topic": F.lit(_TOPIC_OF[payload]),
+        "key": key,
+        "phase": F.lit(PHASES[payload, op]),
+        "value": F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}),
+    }
 
 
 def _body(layout, prefix: str = "") -> Column:
     return F.struct(*[F.col(f"{prefix}{n}").alias(n) for n in sorted(layout.fieldNames())])
 
 
-def delete_events(stale: DataFrame, common: DataFrame) -> DataFrame:
-    """Delete events of ``stale`` elements; their payload is the id alone."""
-    joined = stale.join(common, "file_id")
-
-    def of(kind: str) -> DataFrame:
-        identifier = F.col("element_id")
-        return envelope(
-            joined.where(F.col("element_type") == kind), kind, "delete", identifier,
-            graph_event_id(F.lit(kind), F.lit("delete"), identifier, "content_hash"),
+def id_events(elements: DataFrame, op: str, common: DataFrame) -> DataFrame:
+    """Events of elements of both kinds, in one pass; their payload is the id alone."""
+    identifier = F.col("element_id")
+    edge, node = (
+        _event(
+            kind, op, identifier, graph_event_id(F.lit(kind), F.lit(op), identifier, "content_hash"),
             F.struct(identifier.alias("id")),
         )
+        for kind in ("edge", "node")
+    )
+    is_edge = F.col("element_type") == "edge"
+    chosen = [F.when(is_edge, edge[n]).otherwise(node[n]).alias(n) for n in edge]
+    return elements.join(common, "file_id").select("file_id", *chosen)
+
 
-    return of("edge").unionByName(of("node"))
+def delete_events(stale: DataFrame, common: DataFrame) -> DataFrame:
+    """Delete events of ``stale`` elements."""
+    return id_events(stale, "delete", common)
 
 
 def upsert_events(rows: DataFrame, kind: str, common: DataFrame) -> DataFrame:

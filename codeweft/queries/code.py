@@ -200,13 +200,16 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     WITH {_CODE} SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM edges) AS edges,
       (SELECT count(DISTINCT id) FROM nodes) AS unique_nodes, (SELECT count(DISTINCT id) FROM edges) AS unique_edges,
-      0 AS file_nodes, 0 AS file_edges
+      (SELECT count(*) FROM nodes WHERE file_id = (SELECT min(file_id) FROM files WHERE t <> 4)) AS file_nodes,
+      (SELECT count(*) FROM edges WHERE file_id = (SELECT min(file_id) FROM files WHERE t <> 4)) AS file_edges
     """
 )
 def graph_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals and distinct ids of the whole analysis."""
+    """Totals, distinct ids and one file's counts of the whole analysis; the file is the
+    one with the smallest id."""
     graph = analyze(part_files(spark, sf_dir))
-    return graph_totals(graph.nodes, graph.edges)
+    (first,) = graph.nodes.agg(F.min("file_id")).first()
+    return graph_totals(graph.nodes, graph.edges, F.lit(first))
 
 
 @query(

@@ -60,8 +60,23 @@ def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
     return named.agg(F.max(batch).alias("batch_id"), F.max_by("offset", batch).alias("offset"))
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Snapshot documents, one per file, as ``snapshot`` (VARIANT), next to the columns
+    that the folders name. The reader parses each document once; what is no JSON
+    becomes null."""
+    reader = spark.read.option("singleVariantColumn", "snapshot").option("multiLine", True)
+    return reader.json(path)
+
+
+def gate_input(snapshots: DataFrame) -> DataFrame:
+    """What :func:`evidence_gate` takes, out of documents with a ``name``. A version that
+    is no text is none."""
+    version = F.try_variant_get("snapshot", "$.schema_version", "variant")
+    return snapshots.select(
+        "name",
+        F.when(F.schema_of_variant(version) == "STRING", version.try_cast("string")).alias("schema_version"),
+        F.try_variant_get("snapshot", "$.assertions", "map<string,boolean>").alias("assertions"),
+    )
 
 
 def evidence_gate(snapshots: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Ids, text, time and JSON functions, and the event contract."""
 
+import json
 from hashlib import sha256
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from codeweft.functions import contracts, ids, jsonx, text, times
 from codeweft.schemas import TOPIC_METADATA
+from codeweft.sources.progress import evidence_gate, gate_input, read_snapshots
 
 # Published sample ids: they fix separator, part order and encoding.
 INVALID_FILE = "588c74ea0f8771aa5a93280dd7211bd83afc52bf9e65d495c6cc6549d74705d4"
@@ -152,3 +154,52 @@ def test_all_true_needs_a_row(spark):
     got = {r.k: r.v for r in df.groupBy("k").agg(contracts.all_true(F.col("f")).alias("v")).collect()}
     assert got == {"a": True, "b": False}
     assert df.where("k = 'c'").agg(contracts.all_true(F.col("f")).alias("v")).first().v is False
+
+
+def test_snapshot_rules(spark, tmp_path):
+    def stage_of(**change):
+        whole = {"name": "n", "captured_at": "t", "source_hash": "a" * 64, "source_lines": 1, "parser": {}, "neo4j": {},
+                 "mongo": {}, "kafka_metadata_end_offset": 0, "spark_checkpoint_offset": 0} | change
+        return {k: v for k, v in whole.items() if v != "gone"}
+
+    def snapshot(**change):
+        whole = {
+            "schema_version": "3.0", "captured_at": "2024-06-01T00:00:00Z", "neo4j_dlq_end_offset": 0,
+            **{p: dict.fromkeys(names, 1) for p, names in contracts.SNAPSHOT_PARTS.items()},
+            "stages": dict.fromkeys(contracts.SNAPSHOT_PARTS["stages"], stage_of()),
+            "assertions": {f"c{k}": True for k in range(21)},
+        } | change
+        return {k: v for k, v in whole.items() if v != "gone"}
+
+    stages = dict.fromkeys(contracts.SNAPSHOT_PARTS["stages"], stage_of())
+    cases = {
+        "good": (snapshot(), []),
+        "array": ([1], ["not an object"]),
+        "version": (snapshot(schema_version=3.0), ["schema_version"]),
+        "time": (snapshot(captured_at="noon"), ["captured_at"]),
+        "gone": (snapshot(replay_file="gone"), ["missing replay_file"]),
+        "null": (snapshot(replay_file=None), ["replay_file"]),
+        "inner": (snapshot(replay_file={"path": "", "git_diff": None}), ["missing replay_file.file_id"]),
+        "below": (snapshot(neo4j_dlq_end_offset=-1), ["neo4j_dlq_end_offset"]),
+        "whole": (snapshot(neo4j_dlq_end_offset=2.0), []),
+        "part": (snapshot(neo4j_dlq_end_offset=0.5), ["neo4j_dlq_end_offset"]),
+        "text": (snapshot(neo4j_dlq_end_offset="1"), ["neo4j_dlq_end_offset"]),
+        "few": (snapshot(assertions={"a": True}), ["assertions: too few"]),
+        "odd": (snapshot(assertions={f"c{k}": k or None for k in range(21)}), ["assertions: not true or false"]),
+        "stage": (snapshot(stages=stages | {"extra": 1}), ["stages.extra"]),
+        "fields": (
+            snapshot(stages=stages | {"baseline": stage_of(source_hash="A" * 64, source_lines=0, mongo=[], name="gone")}),
+            ["missing stages.baseline.name", "stages.baseline.mongo", "stages.baseline.source_hash", "stages.baseline.source_lines"],
+        ),
+    }
+    for name, (document, _) in cases.items():
+        folder = tmp_path / f"name={name}"
+        folder.mkdir()
+        (folder / "snapshot.json").write_text(json.dumps(document, indent=2))
+    rows = read_snapshots(spark, str(tmp_path)).select("name", contracts.snapshot_violations(F.col("snapshot")).alias("v"))
+    got = {r["name"]: r.v for r in rows.collect()}
+    assert got == {name: want for name, (_, want) in cases.items()}
+    gated = {r["name"]: r for r in evidence_gate(gate_input(read_snapshots(spark, str(tmp_path)))).collect()}
+    assert gated["good"].accepted and gated["good"].checks == 21
+    assert not gated["version"].accepted and not gated["version"].current
+    assert not gated["array"].accepted and not gated["odd"].accepted

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from codeweft.operators.counts import same_rows
 from codeweft.operators.digest import table_digest
 from codeweft.operators.keyed import first_per_key, latest_per_key
-from codeweft.operators.ordered import carry_forward, next_value, ordinal
+from codeweft.operators.ordered import carry_forward, next_value, ordinal, ordinal_by_size
 
 
 @pytest.fixture(scope="module")
@@ -67,3 +67,20 @@ def test_digest_sees_every_change_and_no_order(rows):
     assert of(rows.where("at != (SELECT 1)").limit(0)) != base
     assert of(rows.union(rows.limit(1))) != base
     assert of(rows.withColumn("v", F.coalesce("v", F.lit("")))) != base
+
+
+@pytest.mark.parametrize("width", [1, 7, 299, 300, 1 << 16])
+def test_place_by_size(spark, width):
+    rng = random.Random(5)
+    counts = (("hot", 300), ("small", 5), ("one", 1), (None, 40))
+    data = [(k, p, f"{rng.randrange(1 << 40):010x}") for k, n in counts for p in [rng.randrange(3) for _ in range(n)]]
+    rows = spark.createDataFrame(data, "k string, phase int, at string").cache()
+    cut = F.concat(F.col("phase").cast("string"), F.substring("at", 1, 1))
+    w = Window.partitionBy("k").orderBy("phase", "at")
+    got = ordinal_by_size(rows, ["k"], ["phase", "at"], "n", cut, width)
+    equal(got, rows.withColumn("n", (F.row_number().over(w) - 1).cast("bigint")))
+
+
+def test_place_by_size_of_nothing(spark):
+    rows = spark.createDataFrame([], "k string, phase int, at string")
+    assert ordinal_by_size(rows, ["k"], ["phase", "at"], "n", F.col("at")).count() == 0
