@@ -3,16 +3,26 @@
 Fixed patterns find labelled credentials. For each kind a probabilistic automaton is
 inferred from them: the prefix tree of the values is folded, breadth first, merging
 states whose outgoing symbols and ends don't differ by more than chance (Hoeffding
-bounds, applied to all successors). Three more are inferred from other tokens of the
-corpus: from long ones, from short or dotted ones of letters alone, and from such ones
-with digits or signs, as numbers and addresses are rare among words. Every token of the labelled
+bounds, applied to all successors). Four more are inferred from other tokens of the
+corpus: from those without a letter (numbers of cards, accounts and phones, dates), from
+long ones, from short or dotted ones of letters alone, and from such ones with digits or
+signs, as numbers and addresses are rare among words. Every token of the labelled
 values' alphabet and least length is then scored by the likeliest credential format
 against its background; what stands out is a span of kind ``grammar``. Dotted tokens
 are scored as a whole and by part, and the better of the two counts.
 
+Distinct tokens hold more credentials than running text does, so a background leaves
+out tokens of letters and digits that a format finds as likely, per character, as labelled
+values that it was not fit on; else unlabelled credentials would pass for usual.
+
+Scores must exceed ``MARGIN``. Where tokens of a background that its automaton was not
+fit on score high, the margin is raised to what 99 per cent of them reach plus ``MARGIN``,
+but not so far that more than ``LOST`` of the labelled values kept apart fall below it.
+
 Automata are fit on bounded samples: ``SAMPLE`` distinct values of each kind (twice as
 many of each background), those with the smallest hash, and their first ``LONGEST``
-characters. Scoring takes whole tokens, and all of them.
+characters; one in ``APART`` of them is kept apart for the margin. Scoring takes whole
+tokens, and all of them.
 """
 
 from __future__ import annotations
@@ -33,6 +43,8 @@ KINDS = ("assign", "access", "hex", "grammar")
 SAMPLE = 1500
 LONGEST = 128
 MARGIN = 12.0  # nats: odds of 160,000 to 1
+APART = 5
+LOST = 0.05
 MASK = "[secret]"
 _ASSIGN = re.compile(
     r"""(?a)(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -42,7 +54,10 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 LEAST = 8  # characters of a labelled value
 _TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
 _PART = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
-_LONG, _SHORT, _MIXED = 3, 4, 5  # kinds of candidates, by background
+_LETTER = re.compile(r"[A-Za-z]")
+_DIGIT = re.compile(r"[0-9]")
+_LONG, _SHORT, _MIXED, _NUMBER = 3, 4, 5, 6  # kinds of candidates, by background
+_BACKGROUNDS = (_LONG, _SHORT, _MIXED, _NUMBER)
 _LONG_FROM = 16
 _KNOWN = 1 << 16
 _SYMBOLS = 67
@@ -153,23 +168,89 @@ class Automaton:
         return len(seen)
 
 
-class Formats:
-    """Automata of the credentials' kinds and of the background."""
+def kind_of(token: str) -> int:
+    """The background that a token is held against."""
+    if not _LETTER.search(token):
+        return _NUMBER
+    if "." not in token and len(token) >= _LONG_FROM:
+        return _LONG
+    return _SHORT if token.replace(".", "").isalpha() else _MIXED
+
+
+def _gain(automaton: Automaton, value: str) -> float:
+    """Nats by which the automaton beats equally likely symbols."""
+    return automaton.log_likelihood(value) + (len(value) + 1) * math.log(_SYMBOLS)
+
+
+def _least(automaton: Automaton, apart: list[str]) -> float | None:
+    """A gain per character that nearly all values kept apart reach."""
+    if len(apart) < _TOO_FEW:
+        return None
+    return 0.9 * sorted(_gain(automaton, v) / len(v) for v in apart)[int(LOST * len(apart))]
+
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str], short: list[str] | None = None, mixed: list[str] | None = None):
-        self.kinds = [Automaton(values) for _, values in sorted(labelled.items()) if values]
-        self.background = Automaton(ordinary)
-        self.others = {k: Automaton(values) for k, values in ((_SHORT, short), (_MIXED, mixed)) if values}
+class Formats:
+    """Automata of the credentials' kinds and of the backgrounds. ``apart`` holds labelled
+    values by kind, ``usual_apart`` tokens of the backgrounds that nothing was fit on;
+    where either is too small the margin stays, and the backgrounds are whole."""
+
+    def __init__(
+        self,
+        labelled: dict[str, list[str]],
+        ordinary: list[str],
+        short: list[str] | None = None,
+        mixed: list[str] | None = None,
+        numbers: list[str] | None = None,
+        apart: dict[str, list[str]] | None = None,
+        usual_apart: dict[int, list[str]] | None = None,
+    ):
+        named = [(kind, Automaton(values)) for kind, values in sorted(labelled.items()) if values]
+        self.kinds = [automaton for _, automaton in named]
+        self.least = [_least(automaton, (apart or {}).get(kind, [])) for kind, automaton in named]
+        self.background = Automaton(self._usual_of(ordinary))
+        given = ((_SHORT, short), (_MIXED, self._usual_of(mixed or [])), (_NUMBER, numbers))
+        self.others = {k: Automaton(values) for k, values in given if values}
         self.known: dict[tuple[str, int], float] = {}
+        self.beyond: dict[int, float] = {}  # what a margin is raised by
+        if self.kinds:
+            own = sorted({v for some in (apart or {}).values() for v in some})
+            self.beyond = self._raised(own, {k: self._usual_of(some) for k, some in (usual_apart or {}).items()})
+
+    def _usual_of(self, tokens: list[str]) -> list[str]:
+        """``tokens`` without those that look like credentials of a format."""
+
+        def alike(token: str) -> bool:
+            if not (_LETTER.search(token) and _DIGIT.search(token)):
+                return False
+            gains = ((_gain(k, token), least) for k, least in zip(self.kinds, self.least, strict=True) if least)
+            return any(gain > MARGIN and gain >= least * len(token) for gain, least in gains)
+
+        return [t for t in tokens if not alike(t[:LONGEST])]
+
+    def _raised(self, apart: list[str], usual_apart: dict[int, list[str]]) -> dict[int, float]:
+        if len(apart) < _TOO_FEW:
+            return {}
+        own = sorted(self._raw(v, kind_of(v)) for v in apart)
+        most = max(0.0, own[int(LOST * len(own))] - MARGIN - 1e-9)
+        out = {}
+        for kind, tokens in usual_apart.items():
+            if len(tokens) >= _TOO_FEW:
+                reached = sorted(self._raw(v, kind) for v in tokens)[int(0.99 * len(tokens))]
+                out[kind] = min(max(0.0, reached), most)
+        return out
+
+    def _raw(self, value: str, kind: int) -> float:
+        usual = self.others.get(kind, self.background)
+        return max(k.log_likelihood(value) for k in self.kinds) - usual.log_likelihood(value)
 
     def score(self, value: str, kind: int = _LONG) -> float:
-        """Nats by which the likeliest credential format beats the background."""
+        """Nats by which the likeliest credential format beats the background, less what
+        the margin is raised by."""
         if not self.kinds:
             return -math.inf
         got = self.known.get((value, kind))
         if got is None:
-            background = self.others.get(kind, self.background)
-            got = max(k.log_likelihood(value) for k in self.kinds) - background.log_likelihood(value)
+            got = self._raw(value, kind) - self.beyond.get(kind, 0.0)
             if len(value) < _LONG_FROM:  # words, which come again
                 if len(self.known) >= _KNOWN:
                     self.known.clear()
@@ -222,11 +303,7 @@ def candidates(text: str, base: list[Span]) -> list[Span]:
         for start, end in spans:
             if not any(s < end and start < e for s, _, e, _ in base):
                 token = text[start:end]
-                if "." not in token and len(token) >= _LONG_FROM:
-                    kind = _LONG
-                else:
-                    kind = _SHORT if token.replace(".", "").isalpha() else _MIXED
-                out.append((start, kind, end, token))
+                out.append((start, kind_of(token), end, token))
     return out
 
 
@@ -261,14 +338,23 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(found: DataFrame) -> Formats:
     """Automata from samples of the values in ``found``."""
-    values = found.select(F.explode(F.arrays_zip("kinds", "texts")).alias("s")).select("s.kinds", "s.texts").distinct()
+    values = found.select(F.explode(F.arrays_zip("kinds", "texts")).alias("s"))
+    values = values.select("s.kinds", F.substring("s.texts", 1, LONGEST).alias("texts")).distinct()
     values = keep(values, "values")
-    sides: dict[int, list[str]] = {}
-    for k in range(_MIXED + 1):
-        rows = values.where(F.col("kinds") == k).select("texts", F.xxhash64("texts").alias("turn"))
-        rows = rows.orderBy("turn", "texts").limit(SAMPLE * (2 if k >= _LONG else 1)).collect()
-        sides[k] = sorted(r["texts"] for r in rows)
-    return Formats({KINDS[k]: sides[k] for k in range(_LONG)}, sides[_LONG], sides[_SHORT], sides[_MIXED])
+
+    def sample(kind: int, most: int) -> list[str]:
+        rows = values.where(F.col("kinds") == kind).select("texts", F.xxhash64("texts").alias("turn"))
+        return [r["texts"] for r in rows.orderBy("turn", "texts").limit(most).collect()]
+
+    drawn = {KINDS[k]: sample(k, SAMPLE) for k in range(_LONG)}
+    usual = {k: sample(k, 2 * SAMPLE) for k in _BACKGROUNDS}
+    apart = {kind: some[::APART] for kind, some in drawn.items()}
+    apart = {kind: some for kind, some in apart.items() if len(some) >= _TOO_FEW}
+    left = {v for some in apart.values() for v in some}
+    fit = {kind: sorted(set(some) - left) for kind, some in drawn.items()}
+    usual_apart = {k: some[::APART] for k, some in usual.items()}
+    rest = (sorted(set(some) - set(some[::APART])) if len(some) >= APART * _TOO_FEW else sorted(some) for some in usual.values())
+    return Formats(fit, *rest, apart, usual_apart)
 
 
 _SPANS = pa.schema(

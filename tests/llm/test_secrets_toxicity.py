@@ -1,12 +1,14 @@
 """Secrets against plain patterns, and held-out accuracy of the toxicity score."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 from collections import Counter
 
 import duckdb
+from pyspark.sql import functions as F
 
 from codeweft.llm import secrets, toxicity
 
@@ -161,3 +163,141 @@ def test_short_and_dotted_tokens_are_scored():
     assert {one, two, words[0], words[1], words[2], f"{words[1]}.{words[2]}"} <= {s[3] for s in found}
     assert [text[a:b] for a, _, b, _ in formats.standing_out(found)] == [one, two]
     assert secrets.masked(text, formats) == text.replace(one, secrets.MASK).replace(two, secrets.MASK)
+
+
+class PlainAutomaton:
+    """The same inference on sets of prefixes, counted anew for every question."""
+
+    def __init__(self, values):
+        self.count, self.ends = Counter(v[:k] for v in values for k in range(len(v) + 1)), Counter(values)
+        self.block = {p: frozenset([p]) for p in self.count}
+        self.letters = sorted({c for v in values for c in v})
+        settled, waiting = [""], [("", c) for c in self.letters]
+        while waiting:
+            parent, c = waiting.pop(0)
+            target = self.step(self.block[parent], c)
+            if target is None or any(self.block[k] == target for k in settled):
+                continue
+            same = next((k for k in settled if self.alike(self.block[k], target)), None)
+            if same is None:
+                new = min(target)
+                settled.append(new)
+                waiting += [(new, d) for d in self.letters]
+            else:
+                self.join(self.block[same], target)
+                waiting += [(k, d) for k in settled for d in self.letters]
+
+    def step(self, block, c):
+        return next((self.block[p + c] for p in block if p + c in self.count), None)
+
+    def total(self, block):
+        return sum(self.count[p] for p in block)
+
+    def final(self, block):
+        return sum(self.ends[p] for p in block)
+
+    def going(self, block, c):
+        return sum(self.count[p + c] for p in block)
+
+    def alike(self, a, b):
+        n, m = self.total(a), self.total(b)
+        if min(n, m) < 8:
+            return True
+        bound = math.sqrt(0.5 * math.log(200)) * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+        if abs(self.final(a) / n - self.final(b) / m) > bound:
+            return False
+        for c in self.letters:
+            if abs(self.going(a, c) / n - self.going(b, c) / m) > bound:
+                return False
+            x, y = self.step(a, c), self.step(b, c)
+            if x and y and not self.alike(x, y):
+                return False
+        return True
+
+    def join(self, a, b):
+        after = [(self.step(a, c), self.step(b, c)) for c in self.letters]
+        after = [(min(x), min(y)) for x, y in after if x and y]
+        whole = a | b
+        for p in whole:
+            self.block[p] = whole
+        for x, y in after:
+            if self.block[x] != self.block[y]:
+                self.join(self.block[x], self.block[y])
+
+    def log_likelihood(self, value):
+        block, out = self.block[""], 0.0
+        for c in value:
+            out += math.log((self.going(block, c) + 0.05) / (self.total(block) + 0.05 * 67))
+            block = self.step(block, c) or self.block[""]
+        return out + math.log((self.final(block) + 0.05) / (self.total(block) + 0.05 * 67))
+
+
+def test_automaton_against_plain_sets():
+    rng = random.Random(7)
+    makers = (
+        lambda: "AK" + "".join(rng.choices("xyz", k=rng.randrange(3, 7))),
+        lambda: "-".join("".join(rng.choices("01", k=3)) for _ in range(3)),
+        lambda: rng.choice(["ab", "cd"]) * rng.randrange(1, 5),
+        lambda: "".join(rng.choices("abcde", weights=[9, 4, 2, 1, 1], k=rng.randrange(1, 8))),
+    )
+    for make in makers:
+        values = [make() for _ in range(250)]
+        fast, plain = secrets.Automaton(values), PlainAutomaton(values)
+        assert fast.states() == len(set(plain.block.values()))
+        for v in [*values[:40], *("".join(rng.choices("ab01xA-?", k=6)) for _ in range(20)), ""]:
+            assert math.isclose(fast.log_likelihood(v), plain.log_likelihood(v), abs_tol=1e-9)
+
+
+def test_unlabelled_credentials_are_found_and_numbers_are_not(docs_of):
+    rng = random.Random(11)
+    words = ["".join(rng.choices(["th", "er", "on", "an", "re", "ing", "ed", "st"], k=rng.randrange(4, 9))) for _ in range(400)]
+
+    def hexes(size):
+        return "".join(rng.choices("0123456789abcdef", k=size))
+
+    def number(size):
+        return str(rng.randrange(10 ** (size - 1), 10**size))
+
+    rows, planted, cards = [], {}, []
+    for k in range(150):
+        planted[k] = hexes(rng.randrange(24, 32))  # too short for the fixed pattern
+        cards += [number(16), f"{number(4)}-{number(4)}-{number(4)}-{number(4)}", number(11)]
+        rows.append((k, " ".join([*rng.choices(words, k=20), f'token = "{hexes(40)}"', *cards[-3:], planted[k], *rng.choices(words, k=9)])))
+    found = {r.doc_id: r for r in secrets.scan(docs_of(*rows)).collect()}
+    missed = 0
+    for k, text in rows:
+        spans = [x.split(":") for x in found[k].spans.split(",")]
+        extra = {text[int(a) : int(b)] for kind, a, b in spans if kind == "grammar"}
+        assert not extra & set(cards) and extra <= {planted[k]}
+        missed += planted[k] not in extra
+    assert missed <= 3
+
+
+def test_margin_follows_tokens_kept_apart():
+    rng = random.Random(2)
+    keys = ["".join(rng.choices("0123456789abcdef", k=24)) for _ in range(300)]
+    words = ["".join(rng.choices(["th", "er", "on", "an"], k=8)) for _ in range(300)]
+    plain = secrets.Formats({"assign": keys}, words)
+    odd = ["".join(rng.choices("abcdef", k=24)) for _ in range(200)]  # a background that looks like credentials
+    raised = secrets.Formats({"assign": keys}, words, apart={"assign": keys[200:]}, usual_apart={secrets._LONG: odd})
+    assert raised.beyond[secrets._LONG] > 0 == len(plain.beyond)
+    fresh = ["".join(rng.choices("0123456789abcdef", k=24)) for _ in range(300)]
+    assert sum(raised.score(v) > secrets.MARGIN for v in fresh) >= 0.85 * len(fresh)
+    few = secrets.Formats({"assign": keys}, words, apart={"assign": keys[:3]}, usual_apart={secrets._LONG: odd})
+    assert few.beyond == {}
+
+
+def test_odd_rows_of_secrets(docs_of):
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    long = "word " * 200_000 + f'token = "{key}"'
+    rows = [(1, f'token = "{key}"'), (1, f'token = "{key}"'), (2, long), (3, "z9" * 500_000), (4, ""), (5, None), (None, key)]
+    docs = docs_of(*rows)
+    clash = docs.withColumns({c: F.lit("x") for c in ("kinds", "texts", "starts", "ends", "spans", "n_hex")})
+    for df in (docs, clash):
+        out = secrets.scan(df).collect()
+        assert len(out) == len(rows)
+        got = {r.doc_id: r for r in out}
+        assert got[1].spans == base(rows[0][1]) and got[2].spans == base(long) and got[None].spans == "hex:0:40"
+        assert sum(r.doc_id == 1 for r in out) == 2 and got[4].spans == got[5].spans == ""
+    masked = secrets.without_secrets(clash)
+    assert masked.columns == clash.columns and masked.count() == len(rows)
