@@ -11,8 +11,9 @@ common to all lead. Each class is first compared with the leaders that it meets
 often, ``MEET`` at most. Near copies mostly meet the same ones, so links found
 there connect groups of thousands with a few comparisons each. Then pairs that share a prefix shingle and still are in different components
 are tried: all of them pass the length, positional and suffix filters where they
-meet, and only what is left is verified, once, at the first shingle they share. So
-no link between components is lost. The output is components: links inside one are not
+meet, and only what is left is verified, once, at the first shingle they share. The
+suffix filter bounds the shingles that only one of two sets has by the bits in which
+their sketches differ, so it is exact. No link between components is lost. The output is components: links inside one are not
 listed, and most of them not verified.
 
 Hot groups: copies collapse in partial aggregates; leaders are minima, which
@@ -66,21 +67,24 @@ def prefix_length(n: int, num: int, den: int) -> int:
 
 
 def _suffix_sketch(s: np.ndarray) -> bytes:
-    """Counts of shingles by the low bits of their hash. Summed minima of two such
-    bound the overlap from above. Empty, and then no bound, if a count won't fit."""
-    width = 64
-    while width * 8 < len(s):
+    """One bit for each of as many cells as shingles, or more: whether an odd number of
+    shingles falls into it. Where two such differ, one set has a shingle the other lacks."""
+    width = 512
+    while width < len(s):
         width *= 2
-    counts = np.bincount((s & U(width - 1)).astype(np.int64), minlength=width)
-    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+    odd = np.bincount((s & U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
 
-def _overlap_bound(a: bytes, b: bytes) -> int | None:
-    if not a or not b:
-        return None
-    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
-    width = min(len(x), len(y))
-    return int(np.minimum(x.reshape(-1, width).sum(0), y.reshape(-1, width).sum(0)).sum())
+def _folded(sketch: bytes, width: int) -> np.ndarray:
+    """The sketch of the same set in ``width`` words of 64 bits."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, U).reshape(-1, width), axis=0)
+
+
+def _overlap_bound(na: int, nb: int, a: bytes, b: bytes) -> int:
+    """The most shingles that two sets of these sizes and sketches can share."""
+    width = min(len(a), len(b)) // 8
+    return (na + nb - int(np.bitwise_count(_folded(a, width) ^ _folded(b, width)).sum())) // 2
 
 
 _SETS = pa.schema(
@@ -264,11 +268,14 @@ def _try_group(rows: dict[str, np.ndarray | list], num: int, den: int) -> Iterat
     cls, n, pos, root, block = cls[order], n[order], pos[order], root[order], block[order]
     sketches, held = [rows["sketch"][k] for k in order], [rows["open"][k] for k in order]
     last = np.searchsorted(n, den * n // num, side="right")
-    by_width: dict[int, np.ndarray] = {}
+    by_width: dict[int, tuple[int, np.ndarray]] = {}
 
-    def sketch_of(k: int, width: int) -> np.ndarray:
-        got = np.frombuffer(sketches[k], np.uint8)
-        return got.astype(np.int32).reshape(-1, width).sum(0)
+    def sketches_from(i: int) -> tuple[int, np.ndarray]:
+        """Sketches as wide as that of row i, of the rows from the first such one on."""
+        width = len(sketches[i]) // 8
+        if width not in by_width:
+            by_width[width] = i, np.stack([_folded(s, width) for s in sketches[i:]])
+        return by_width[width]
 
     earlier: dict[int, np.ndarray] = {}
     for i in range(len(n) - 1):
@@ -283,15 +290,9 @@ def _try_group(rows: dict[str, np.ndarray | list], num: int, den: int) -> Iterat
         j, need = j[good & (most >= need)], need[good & (most >= need)]
         if not len(j):
             continue
-        width = len(sketches[i])
-        if width and all(len(sketches[k]) >= width for k in (j if len(j) < 50 else j[-1:])):
-            if len(j) < 50:
-                all_ = np.stack([sketch_of(k, width) for k in j])
-            else:
-                if width not in by_width:
-                    by_width[width] = np.stack([sketch_of(k, width) if len(s) >= width else np.full(width, 1 << 20) for k, s in enumerate(sketches)])
-                all_ = by_width[width][j]
-            j = j[np.minimum(all_, sketch_of(i, width)).sum(1) >= need]
+        base, wide = sketches_from(i)
+        apart = np.bitwise_count(wide[j - base] ^ wide[i - base]).sum(1, dtype=np.int64)
+        j = j[n[i] + n[j] - apart >= 2 * need]
         for k in j.tolist():
             for m in (i, k):
                 if m not in earlier:
@@ -338,8 +339,8 @@ def _suffix_filter(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             need = _needed(np.asarray(batch["na"]), np.asarray(batch["nb"]), num, den)
-            bounds = [_overlap_bound(x, y) for x, y in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist(), strict=True)]
-            here = pa.array([b is None or b >= k for b, k in zip(bounds, need.tolist(), strict=True)], pa.bool_())
+            facts = zip(*(batch[k].to_pylist() for k in ("na", "nb", "sa", "sb")), strict=True)
+            here = pa.array([_overlap_bound(*x) >= k for x, k in zip(facts, need.tolist(), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["a"].filter(here), batch["b"].filter(here)], schema=_PAIR)
 
     return run

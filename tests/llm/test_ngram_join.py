@@ -109,3 +109,17 @@ def test_unlike_texts_of_one_id_are_judged_apart(docs_of):
     got = sorted((str(r.doc_id), r.text or "") for r in nj.first_of_each(docs_of(*rows)).collect())
     want = [(3, text("x")), (3, text("a")), (7, text("u")), (8, ""), (8, ""), (8, ""), (8, " "), (9, text("v")), (None, text("x"))]
     assert got == sorted((str(i), t) for i, t in want)
+
+
+def test_suffix_bound_is_never_below_the_overlap_and_close_to_it():
+    rng = np.random.default_rng(4)
+    for m in (1, 3, 300, 511, 513, 2000, 9000):
+        base = rng.integers(0, 1 << 64, 2 * m, np.uint64)
+        for shared in sorted({0, m // 2, m * 3 // 4, m * 9 // 10, m}):
+            for extra in (0, m // 8):
+                a, b = base[:m], base[m - shared : 2 * m - shared + extra]
+                bound = nj._overlap_bound(len(a), len(b), nj._suffix_sketch(a), nj._suffix_sketch(b))
+                common = len(np.intersect1d(a, b))
+                assert common <= bound
+                if m >= 300 and not extra and 10 * common >= 7 * m:
+                    assert bound <= common + 0.1 * m
