@@ -9,8 +9,8 @@ The reader checks each member's CRC, the record's lengths and its digests. Where
 check fails it looks for the next gzip member or version line from which a whole
 record can be read, goes on there, and logs the bytes in between as a gap. The same
 goes for the records inside one member; of a damaged or cut-off member the records in
-the part that unpacks are kept, behind damage only those with a digest. Files
-hold at most ``RECORDS`` records, as each is read as a whole.
+the part that unpacks are kept, behind damage only those with a digest. A file is read
+as a whole, so a task ends one behind the member that brings it to ``FILE_BYTES``.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeweft.llm.common import table
+from codeweft.llm.common import keep, table
 from codeweft.session import scratch
 
-RECORDS = 1000
+FILE_BYTES = 64 << 20
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 6
 _FEW = 10_000
@@ -78,17 +79,23 @@ def member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-_MEMBER = pa.schema([("member", pa.binary())])
+_MEMBER = pa.schema([("archive", pa.int32()), ("member", pa.binary())])
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members, numbered by the archive of the task that they go to."""
+    archive, size = 0, 0
     for batch in batches:
-        out = []
+        numbers, out = [], []
         for row in batch.to_pylist():
             payload = (row["html"] or "").encode()
             got = member(record(row["page_id"], row["url"], payload, row["first"], row["revisit"]))
             out.append(got[:-1] if got[-1] == 0 else got)  # the separator is that byte
-        yield table(_MEMBER, member=out)
+            numbers.append(archive)
+            size += len(got)
+            if size >= FILE_BYTES:
+                archive, size = archive + 1, 0
+        yield table(_MEMBER, archive=numbers, member=out)
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
@@ -97,7 +104,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     Of rows with equal payloads of at least ``least_bytes`` bytes those with the
     largest id are responses and the others revisit them; null ids come last. Only
     payloads that occur twice are joined, and no payload is shuffled unless there are
-    many of those.
+    many of those. Files lie in a folder for each number that a task gives its archives.
     """
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -111,8 +118,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     out = rows.join(again, "digest", "left")
     revisit = F.coalesce(F.col("again"), F.lit(False)) & (F.octet_length("html") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
     out = out.select("page_id", "url", "html", "first", revisit.alias("revisit"))
-    lines = out.mapInArrow(_members, "member binary").select(F.col("member").cast("string").alias("value"))
-    lines.write.option("lineSep", "\x00").option("maxRecordsPerFile", RECORDS).text(path)
+    lines = out.mapInArrow(_members, "archive int, member binary").select("archive", F.col("member").cast("string").alias("value"))
+    lines.write.partitionBy("archive").option("lineSep", "\x00").text(path)
 
 
 @dataclass(frozen=True)
@@ -347,20 +354,32 @@ def _salvaged(with_payload: bool):
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """A row for every record, and one with a ``reason`` for every gap of bytes that
     could not be read. No files: no rows."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     return files.mapInArrow(_salvaged(with_payload), _READ_DDL)
 
 
+def quarantine(found: DataFrame, path: str) -> int:
+    """Log the gaps among what :func:`read_archives` found as Parquet files in ``path``
+    (file, begin, end, bytes, reason), also where there are none. How many there are."""
+    gaps = found.where("reason IS NOT NULL")
+    gaps.select("file", "begin", "end", (F.col("end") - F.col("begin")).alias("bytes"), "reason").write.parquet(path)
+    return found.sparkSession.read.parquet(path).count()
+
+
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to``, as read
     back from archives of ``pages``.
 
     Null and empty html is an empty payload. Rows that repeat the largest id of a
     payload are all responses. A null id is read back as null. Other columns than
-    page_id, url and html are not archived.
+    page_id, url and html are not archived. What the reader could not read is logged
+    in a table beside the archives, and warned about.
     """
     spark = pages.sparkSession
     path = scratch(spark, "warc")
     write_archives(pages, path, least_bytes)
-    out = read_archives(spark, path).where("reason IS NULL")
-    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = keep(read_archives(spark, path), "warc_records")
+    gaps = scratch(spark, "warc_gaps")
+    if lost := quarantine(found, gaps):
+        warnings.warn(f"{lost} gaps in the archives under {path}, logged in {gaps}", stacklevel=2)
+    return found.where("reason IS NULL").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

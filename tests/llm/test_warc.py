@@ -7,6 +7,8 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
+
 from codeweft.llm import warc
 
 PAYLOADS = [(f"page {k} " * (50 * k + 1)).encode() for k in range(6)]
@@ -123,3 +125,28 @@ def test_damaged_and_cut_members_keep_their_whole_records():
     hurt = bytearray(whole)
     hurt[-6] ^= 1  # nothing shows which of them are right
     assert read(bytes(hurt)) == ([], [(0, len(whole))])
+
+
+def test_gaps_are_logged_in_a_table(llm, tmp_path):
+    hurt = b"".join(MEMBERS[:2]) + b"junk" + b"".join(MEMBERS[2:])
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.warc.gz").write_bytes(hurt)
+    (tmp_path / "in" / "b.warc.gz").write_bytes(MEMBERS[0])
+    assert warc.quarantine(warc.read_archives(llm, str(tmp_path / "in")), str(tmp_path / "gaps")) == 1
+    row = llm.read.parquet(str(tmp_path / "gaps")).first()
+    begin = len(MEMBERS[0] + MEMBERS[1])
+    assert row.file.endswith("a.warc.gz") and (row.begin, row.end, row.bytes) == (begin, begin + 4, 4) and row.reason
+    assert warc.quarantine(warc.read_archives(llm, str(tmp_path / "in" / "b.warc.gz")), str(tmp_path / "none")) == 0
+    assert llm.read.parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_archives_end_at_a_number_of_bytes(monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1000)
+    rng = random.Random(5)
+    rows = [{"page_id": k, "url": None, "html": rng.randbytes(300).hex(), "first": None, "revisit": False} for k in range(20)]
+    batches = [pa.RecordBatch.from_pylist(rows[k : k + 4]) for k in range(0, 20, 4)]
+    sizes = defaultdict(list)
+    for batch in warc._members(iter(batches)):
+        for archive, member in zip(batch["archive"].to_pylist(), batch["member"].to_pylist(), strict=True):
+            sizes[archive].append(len(member))
+    assert len(sizes) > 5 and all(sum(s[:-1]) < 1000 for s in sizes.values()) and sum(map(len, sizes.values())) == 20
