@@ -6,10 +6,11 @@ also goes to the buckets it only just missed (``PROBES`` in all for each table).
 Vectors of one bucket are compared by cosine in double precision; a pair counts in
 the smallest bucket that both share, so it counts once, without a table of pairs.
 
-More vectors need more axes for small buckets, and then more tables for the same
-recall: both follow from the largest label. Recall at the threshold is tested, above
-0.995, for up to 3 axes at 64 dimensions; with more axes or dimensions more pairs are
-missed (see README). Closer pairs are missed less often.
+More vectors need more axes for small buckets, and more axes, dimensions or a lower
+threshold need more tables for the same recall. The axes follow from the largest label.
+How often one table parts two vectors whose cosine is just the threshold is measured on
+drawn pairs, and as many tables are taken as let ``MISS`` of such pairs be parted by
+all. Closer pairs are missed less often.
 
 Equal vectors are one class from the start, so groups of copies cost nothing. A
 bucket with more than ``BLOCK`` classes is cut, and pairs of its blocks are compared
@@ -31,7 +32,10 @@ from pyspark.sql import functions as F
 from codeweft.llm.common import U, components, keep, mix, table
 
 PROBES = 6
-TABLES = {1: 3, 2: 4, 3: 6, 4: 10, 5: 18, 6: 32}
+MISS = 0.0005
+MOST_AXES = 6
+_DRAWN = 500
+_TRIED = 4
 BLOCK = 1024
 _NEAR_AXES = 4
 _ROUNDS = 3
@@ -85,6 +89,27 @@ def buckets(vectors: np.ndarray, labels: np.ndarray, hashes: int, tables: int) -
     return np.concatenate(out, 1)
 
 
+def tables_needed(hashes: int, size: int, least: float) -> int:
+    """How many tables part at most ``MISS`` of the pairs of ``size`` dimensions whose
+    cosine is ``least``. ValueError if hashing hardly tells such pairs from any others."""
+    if size < 2 or least >= 1:
+        return 1
+    draw = np.random.default_rng(size)
+    one, other = draw.normal(size=(2, _DRAWN, size))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (other * one).sum(1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    near = least * one + math.sqrt(1 - least * least) * other
+    label = np.zeros(_DRAWN, np.int64)
+    a, b = (buckets(x, label, hashes, _TRIED).reshape(_DRAWN, _TRIED, -1) for x in (one, near))
+    parted = ~(a[:, :, :, None] == b[:, :, None, :]).any((2, 3))
+    # One more than counted, so that a table that parted none is not taken for perfect.
+    share = (parted.sum() + 1) / (parted.size + 1)
+    if share > 0.99:
+        raise ValueError(f"cosines of {least} are too low for hashing in {size} dimensions")
+    return math.ceil(math.log(MISS) / math.log(share))
+
+
 def _usable(vector: list | None) -> np.ndarray | None:
     """The unit vector in double precision, or None."""
     if not vector or any(x is None for x in vector):
@@ -241,8 +266,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     largest = one.groupBy("label", "size").agg(F.count("*").alias("n")).agg(F.max("n"), F.max("size")).first()
     n, size = largest[0] or 1, largest[1] or 2
     axes = 2 * max(2, 1 << (size - 1).bit_length())
-    hashes = min(max(TABLES), max(1, math.ceil(math.log(n * PROBES) / math.log(axes))))
-    hashed = keep(one.mapInArrow(_hash(hashes, TABLES[hashes]), _HASHED_DDL), "hashed")
+    hashes = min(MOST_AXES, max(1, math.ceil(math.log(n * PROBES) / math.log(axes))))
+    hashed = keep(one.mapInArrow(_hash(hashes, tables_needed(hashes, size, least)), _HASHED_DDL), "hashed")
 
     places = hashed.select("cls", F.explode("names").alias("bucket"))
     full = places.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import codeweft.llm.near_vectors as nv
@@ -75,14 +76,22 @@ def test_no_rows_and_clashing_columns(llm):
     assert got(nv.near_vectors(odd)) == plain(sample()[:20])
 
 
-def test_recall_at_the_threshold():
+@pytest.mark.parametrize(("size", "hashes", "least"), [(64, 1, 0.93), (64, 2, 0.93), (64, 4, 0.93), (128, 3, 0.93), (1024, 2, 0.93), (1024, 3, 0.93), (64, 2, 0.8)])
+def test_recall_at_the_threshold(size, hashes, least):
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(1500, 64))
+    x = rng.normal(size=(600, size))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     z = rng.normal(size=x.shape)
     z -= (z * x).sum(1, keepdims=True) * x
     z /= np.linalg.norm(z, axis=1, keepdims=True)
-    y, labels = 0.93 * x + math.sqrt(1 - 0.93**2) * z, np.zeros(len(x), np.int64)
-    for hashes in (1, 2, 3):
-        a, b = (nv.buckets(v, labels, hashes, nv.TABLES[hashes]) for v in (x, y))
-        assert np.mean([bool(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist(), strict=True)]) > 0.995
+    y, labels = least * x + math.sqrt(1 - least**2) * z, np.zeros(len(x), np.int64)
+    a, b = (nv.buckets(v, labels, hashes, nv.tables_needed(hashes, size, least)) for v in (x, y))
+    assert np.mean([bool(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist(), strict=True)]) > 0.993
+
+
+def test_tables_follow_threshold_and_size():
+    assert nv.tables_needed(2, 64, 0.99) < nv.tables_needed(2, 64, 0.93) < nv.tables_needed(2, 64, 0.8)
+    assert nv.tables_needed(3, 64, 0.93) < nv.tables_needed(3, 1024, 0.93)
+    assert nv.tables_needed(3, 1, 0.93) == nv.tables_needed(3, 64, 1.0) == 1
+    with pytest.raises(ValueError, match="too low"):
+        nv.tables_needed(4, 64, 0.05)
