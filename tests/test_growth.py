@@ -68,3 +68,8 @@ def test_a_batch_leaves_its_table_only(spark, tmp_path):
     assert put and len(moves) == 5 and kept.read().count() == 40
     assert set(children(spark, staged)) == before and not children(spark, f"{tmp_path}/t/_pending")
     assert exists(spark, f"{tmp_path}/t/bucket_of_4=0")
+
+
+def test_files_are_parsed_by_all_cores(spark, tables):
+    found = REGISTRY["file_nodes"](spark, tables)
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
