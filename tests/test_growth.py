@@ -73,3 +73,15 @@ def test_a_batch_leaves_its_table_only(spark, tmp_path):
 def test_files_are_parsed_by_all_cores(spark, tables):
     found = REGISTRY["file_nodes"](spark, tables)
     assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_rollup_moves_ids_once(spark):
+    rows = [("g", "A", "1"), ("g", "B", "1"), ("h", "A", "2"), ("h", "A", "2"), ("i", "A", "1"), (None, None, "3"), (None, None, None), ("k", "A", "4"), ("k", "B", "5")]
+    rolled = graph_rollup(spark.createDataFrame(rows, "repo string, kind string, id string"), "repo")
+    assert not [line for line in plan(rolled).splitlines() if "Expand" in line and " id#" in line]
+    got = sorted((str(r.repo), str(r.kind), r.total, r.ids_unique) for r in rolled.collect())
+    none = [("None", "None", 2, False), ("None", "None", 2, False), ("None", "None", 9, False)]
+    assert got == sorted([
+        *none, ("g", "A", 1, True), ("g", "B", 1, True), ("g", "None", 2, False), ("h", "A", 2, False), ("h", "None", 2, False),
+        ("i", "A", 1, True), ("i", "None", 1, True), ("k", "A", 1, True), ("k", "B", 1, True), ("k", "None", 2, True),
+    ])
