@@ -93,3 +93,15 @@ def test_snapshot_sends_no_table_to_the_driver(spark, tables):
     assert "BroadcastHashJoin" not in joins and "SortMergeJoin" in joins
     row = found.first()
     assert (row.edges, row.unique_edges, row.file_edges, row.edge_kinds) == (4, 3, 2, "AST=2,CFG=1,DFG=1")
+
+
+def test_parser_holds_one_text_at_a_time(spark):
+    text = b"this is no code " * 4000
+    batch = pa.RecordBatch.from_pydict({"file_id": ["f"] * 400, "path": ["p"] * 400, "content": [text] * 400})
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in flatten(iter([batch]), False))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 400 and peak < 10 << 20  # the texts are 26 MB
