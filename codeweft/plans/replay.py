@@ -63,7 +63,8 @@ def replay_assertions(stages: DataFrame, runs: DataFrame, keys: list[str]) -> Da
         "mongo_has_one_document_per_file": all_true(
             (c("documents") == c("distinct_files")) & (c("distinct_files") == c("expected_files"))
         ),
-        "unchanged_files_were_not_rewritten": F.count_distinct("other_digest") == 1,
+        # One value, told by its extremes: a distinct count would sort all rows anew.
+        "unchanged_files_were_not_rewritten": F.min("other_digest") == F.max("other_digest"),
         "mongo_offsets_advance": all_true((c("stage") == 0) | (c("offset_before") < c("document_offset"))),
         "spark_consumed_each_stage": all_true(c("checkpoint_offset") == c("end_offset")),
         "checkpoint_resumed_after_restart": F.max("checkpoint_before") < at(again, "checkpoint_offset"),
