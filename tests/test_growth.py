@@ -113,3 +113,11 @@ def test_checks_need_no_distinct_count(spark, tables):
     assert "distinct" not in plan(checks)
     got = {r.file_id: r.unchanged_files_were_not_rewritten for r in checks.collect()}
     assert got == {"1": True, "2": True, "3": False}
+
+
+def test_lines_are_made_distinct_by_their_numbers(spark, tables):
+    rows = line_elements(spark, tables)
+    assert rows.count() == 4
+    (grouped,) = [line for line in plan(rows).splitlines() if "Aggregate" in line]
+    keys = grouped.split("]")[0]
+    assert "l_orderkey" in keys and "l_linenumber" in keys and "element_id" not in keys
