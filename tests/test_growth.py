@@ -6,12 +6,14 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from codeweft.operators.cfg import flow_paths
 from codeweft.operators.counts import graph_rollup
 from codeweft.operators.extract import flatten
+from codeweft.plans.analyze import parse
 from codeweft.plans.replay import replay_assertions
 from codeweft.queries import REGISTRY
 from codeweft.queries.state import line_elements, replay_stages
-from codeweft.session import passing, shared_root, stage
+from codeweft.session import in_place, passing, plan_buckets, shared_root, stage
 from codeweft.sinks.buckets import BucketedTable
 from codeweft.sinks.files import children, exists
 
@@ -121,3 +123,23 @@ def test_lines_are_made_distinct_by_their_numbers(spark, tables):
     (grouped,) = [line for line in plan(rows).splitlines() if "Aggregate" in line]
     keys = grouped.split("]")[0]
     assert "l_orderkey" in keys and "l_linenumber" in keys and "element_id" not in keys
+
+
+def test_control_flow_moves_no_rows(spark):
+    text = b"while a:\n    if b:\n        break\n    try:\n        c()\n    finally:\n        d()\nelse:\n    e()\n"
+    files = spark.createDataFrame([("f", "f.py", bytearray(text))], "file_id string, path string, content binary")
+    raw = parse(files)
+    with in_place(spark):
+        flow = flow_paths(raw)
+        steps = flow._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in steps and plan(flow).count("Join ") <= 2
+    got = {(r.source_path, r.discriminator): r.target_path for r in flow.collect()}
+    assert got["$.body[0].body[0].body[0]", "break"] == "$.__exit__"
+    assert got["$.body[0].body[1].body[0]", "next"] == "$.body[0].body[1].finalbody[0]"
+    assert got["$.body[0].body[1].finalbody[0]", "next"] == "$.body[0]"
+
+
+def test_buckets_follow_the_sources(spark, tmp_path):
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(400)), lambda i: F.sha2((F.col("id") * 401 + i).cast("string"), 256)))
+    spark.range(2000).select(text.alias("content")).write.parquet(f"{tmp_path}/sources")
+    assert plan_buckets(spark.read.parquet(f"{tmp_path}/sources")) > 2 * spark.sparkContext.defaultParallelism
