@@ -21,8 +21,9 @@ but not so far that more than ``LOST`` of the labelled values kept apart fall be
 
 Automata are fit on bounded samples: ``SAMPLE`` distinct values of each kind (twice as
 many of each background), those with the smallest hash, and their first ``LONGEST``
-characters; one in ``APART`` of them is kept apart for the margin. Scoring takes whole
-tokens, and all of them.
+characters; one in ``APART`` of them is kept apart. Margins come from no sample: they are
+quantiles over all distinct values and tokens that nothing was fit on. Scoring takes
+whole tokens, and all of them.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import hashlib
 import math
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +46,7 @@ LONGEST = 128
 MARGIN = 12.0  # nats: odds of 160,000 to 1
 APART = 5
 LOST = 0.05
+USUAL = 0.99
 MASK = "[secret]"
 _ASSIGN = re.compile(
     r"""(?a)(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -58,6 +60,7 @@ _LETTER = re.compile(r"[A-Za-z]")
 _DIGIT = re.compile(r"[0-9]")
 _LONG, _SHORT, _MIXED, _NUMBER = 3, 4, 5, 6  # kinds of candidates, by background
 _BACKGROUNDS = (_LONG, _SHORT, _MIXED, _NUMBER)
+_OWN = -1  # labelled values of all kinds
 _LONG_FROM = 16
 _KNOWN = 1 << 16
 _SYMBOLS = 67
@@ -204,18 +207,24 @@ class Formats:
         apart: dict[str, list[str]] | None = None,
         usual_apart: dict[int, list[str]] | None = None,
     ):
-        named = [(kind, Automaton(values)) for kind, values in sorted(labelled.items()) if values]
-        self.kinds = [automaton for _, automaton in named]
-        self.least = [_least(automaton, (apart or {}).get(kind, [])) for kind, automaton in named]
-        self.background = Automaton(self._usual_of(ordinary))
-        given = ((_SHORT, short), (_MIXED, self._usual_of(mixed or [])), (_NUMBER, numbers))
-        self.others = {k: Automaton(values) for k, values in given if values}
+        self.names = [kind for kind, values in sorted(labelled.items()) if values]
+        self.kinds = [Automaton(labelled[kind]) for kind in self.names]
+        self.least = [_least(k, (apart or {}).get(kind, [])) for kind, k in zip(self.names, self.kinds, strict=True)]
         self.known: dict[tuple[str, int], float] = {}
         self.beyond: dict[int, float] = {}  # what a margin is raised by
+        self.fit_usual(ordinary, short, mixed, numbers)
         if self.kinds:
             own = sorted({v for some in (apart or {}).values() for v in some})
             self.beyond = self._raised(own, {k: self._usual_of(some) for k, some in (usual_apart or {}).items()})
 
+    def fit_usual(
+        self, ordinary: list[str], short: list[str] | None, mixed: list[str] | None, numbers: list[str] | None
+    ) -> None:
+        """Infer the backgrounds, without what the formats find alike."""
+        self.background = Automaton(self._usual_of(ordinary))
+        given = ((_SHORT, short), (_MIXED, self._usual_of(mixed or [])), (_NUMBER, numbers))
+        self.others = {k: Automaton(values) for k, values in given if values}
+
     def _usual_of(self, tokens: list[str]) -> list[str]:
         """``tokens`` without those that look like credentials of a format."""
 
@@ -231,13 +240,42 @@ class Formats:
         if len(apart) < _TOO_FEW:
             return {}
         own = sorted(self._raw(v, kind_of(v)) for v in apart)
-        most = max(0.0, own[int(LOST * len(own))] - MARGIN - 1e-9)
-        out = {}
-        for kind, tokens in usual_apart.items():
-            if len(tokens) >= _TOO_FEW:
-                reached = sorted(self._raw(v, kind) for v in tokens)[int(0.99 * len(tokens))]
-                out[kind] = min(max(0.0, reached), most)
-        return out
+        scores = ((kind, sorted(self._raw(v, kind) for v in tokens)) for kind, tokens in usual_apart.items())
+        reached = {kind: some[int(USUAL * len(some))] for kind, some in scores if len(some) >= _TOO_FEW}
+        return self.raised_by(own[int(LOST * len(own))], reached)
+
+    def raised_by(self, own: float, reached: dict[int, float]) -> dict[int, float]:
+        """What margins are raised by: ``own`` is what all but ``LOST`` of the labelled values
+        score, ``reached`` what ``USUAL`` of a background's tokens stay below."""
+        most = max(0.0, own - MARGIN - 1e-9)
+        return {kind: min(max(0.0, score), most) for kind, score in reached.items()}
+
+    def measure(self, values: DataFrame, unfit: Callable[[int, str], bool], usual: tuple) -> None:
+        """Set all margins from ``values(kinds, texts)``, of which ``unfit`` tells those that
+        nothing was fit on; ``usual`` is what backgrounds are fit on anew, as what they
+        leave out follows from the margins. Tasks score, the driver gets counts."""
+        if not self.kinds:
+            return
+        places = {KINDS.index(name): k for k, name in enumerate(self.names)}
+
+        def gains(kind: int, text: str) -> float | None:
+            return _gain(self.kinds[places[kind]], text) / len(text) if kind in places and unfit(kind, text) else None
+
+        labelled = keep(_scored(values.where(F.col("kinds") < _LONG), gains), "labelled")
+        low = _quantiles(labelled, dict.fromkeys(places, LOST))
+        self.least = [0.9 * low[KINDS.index(name)] if KINDS.index(name) in low else None for name in self.names]
+        self.fit_usual(*usual)
+
+        def raws(kind: int, text: str) -> float | None:
+            if kind == _OWN:
+                return self._raw(text, kind_of(text))
+            return self._raw(text, kind) if unfit(kind, text) and self._usual_of([text]) else None
+
+        own = labelled.select(F.lit(_OWN).cast("bigint").alias("kinds"), "texts").distinct()
+        scored = keep(_scored(own.unionByName(values.where(F.col("kinds") >= _LONG)), raws).drop("texts"), "scores")
+        at = _quantiles(scored, {_OWN: LOST, **dict.fromkeys(_BACKGROUNDS, USUAL)})
+        self.beyond = self.raised_by(at.pop(_OWN), at) if _OWN in at else {}
+        self.known.clear()
 
     def _raw(self, value: str, kind: int) -> float:
         usual = self.others.get(kind, self.background)
@@ -336,8 +374,55 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+_SCORED = pa.schema([("kinds", pa.int64()), ("texts", pa.string()), ("score", pa.float64())])
+
+
+def _scored(values: DataFrame, score: Callable[[int, str], float | None]) -> DataFrame:
+    """``values`` with their scores, without those that have none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = list(zip(batch["kinds"].to_pylist(), batch["texts"].to_pylist(), strict=True))
+            rows = [(kind, text, got) for kind, text in pairs if (got := score(kind, text)) is not None]
+            yield table(_SCORED, **{f.name: [r[k] for r in rows] for k, f in enumerate(_SCORED)})
+
+    return values.select("kinds", "texts").mapInArrow(run, "kinds bigint, texts string, score double")
+
+
+_STEPS = 100, 10_000_000  # of a nat
+
+
+def _quantiles(scored: DataFrame, shares: dict[int, float]) -> dict[int, float]:
+    """By kind, the score at place ``int(share * n)`` of all its n scores in order, where n is
+    not too few. Scores are counted in steps, then the one step that holds the place in
+    finer ones, so the driver gets no more counts than there are steps."""
+    places: dict[int, int] = {}
+    coarse, fine = (F.floor(F.col("score") * n) for n in _STEPS)
+    rows = scored.groupBy("kinds", coarse.alias("step")).agg(F.count("*").alias("n")).collect()
+    at: dict[int, int] = {}
+    for kind, share in shares.items():
+        steps = sorted((r["step"], r["n"]) for r in rows if r["kinds"] == kind)
+        total = sum(n for _, n in steps)
+        if total >= _TOO_FEW:
+            places[kind] = int(share * total)
+            for at[kind], n in steps:
+                if places[kind] < n:
+                    break
+                places[kind] -= n
+    out: dict[int, float] = {}
+    for kind, step in at.items():
+        inside = scored.where((F.col("kinds") == kind) & (coarse == step)).groupBy(fine.alias("step"))
+        for r in sorted(inside.agg(F.count("*").alias("n"), F.min("score").alias("score")).collect(), key=lambda r: r["step"]):
+            if places[kind] < r["n"]:
+                out[kind] = r["score"]
+                break
+            places[kind] -= r["n"]
+    return out
+
+
 def learn(found: DataFrame) -> Formats:
-    """Automata from samples of the values in ``found``."""
+    """Automata from samples of the values in ``found``, margins from all that were not drawn
+    for them."""
     values = found.select(F.explode(F.arrays_zip("kinds", "texts")).alias("s"))
     values = values.select("s.kinds", F.substring("s.texts", 1, LONGEST).alias("texts")).distinct()
     values = keep(values, "values")
@@ -352,9 +437,13 @@ def learn(found: DataFrame) -> Formats:
     apart = {kind: some for kind, some in apart.items() if len(some) >= _TOO_FEW}
     left = {v for some in apart.values() for v in some}
     fit = {kind: sorted(set(some) - left) for kind, some in drawn.items()}
-    usual_apart = {k: some[::APART] for k, some in usual.items()}
-    rest = (sorted(set(some) - set(some[::APART])) if len(some) >= APART * _TOO_FEW else sorted(some) for some in usual.values())
-    return Formats(fit, *rest, apart, usual_apart)
+    rest = tuple(sorted(set(some) - set(some[::APART])) if len(some) >= APART * _TOO_FEW else sorted(some) for some in usual.values())
+    learnt = {v for some in fit.values() for v in some}
+    out = {KINDS.index(kind): learnt | set(drawn[kind]) - set(some) for kind, some in apart.items()}
+    out |= {k: set(some) - set(some[::APART]) for k, some in usual.items()}
+    formats = Formats(fit, [])
+    formats.measure(values, lambda kind, text: kind in out and text not in out[kind], rest)
+    return formats
 
 
 _SPANS = pa.schema(

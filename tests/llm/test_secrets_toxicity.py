@@ -287,6 +287,30 @@ def test_margin_follows_tokens_kept_apart():
     assert few.beyond == {}
 
 
+def test_margins_are_taken_from_all_values(llm, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE", 60)
+    rng = random.Random(3)
+    keys = ["".join(rng.choices("0123456789abcdef", k=24)) for _ in range(400)]
+    words = ["".join(rng.choices("abcdefgh", k=24)) for _ in range(500)]
+    rows = [(i, [0] * 40, keys[i : i + 40]) for i in range(0, 400, 40)] + [(i, [secrets._LONG] * 50, words[i : i + 50]) for i in range(0, 500, 50)]
+    found = llm.createDataFrame(rows, "doc_id bigint, kinds array<bigint>, texts array<string>")
+    formats = secrets.learn(found)
+
+    def unfit(values, most):
+        turns = llm.createDataFrame([(v,) for v in values], "v string").orderBy(F.xxhash64("v"), "v")
+        drawn = [r.v for r in turns.limit(most).collect()]
+        return set(values) - set(drawn) | set(drawn[:: secrets.APART])
+
+    own = unfit(keys, 60)
+    assert len(own) == 352
+    gains = sorted(secrets._gain(formats.kinds[0], v) / len(v) for v in own)
+    assert math.isclose(formats.least[0], 0.9 * gains[int(secrets.LOST * len(gains))])
+    scores = sorted(formats._raw(v, secrets._LONG) for v in own)
+    usual = sorted(formats._raw(v, secrets._LONG) for v in formats._usual_of(sorted(unfit(words, 120))))
+    most = max(0.0, scores[int(secrets.LOST * len(scores))] - secrets.MARGIN - 1e-9)
+    assert math.isclose(formats.beyond[secrets._LONG], min(max(0.0, usual[int(0.99 * len(usual))]), most), abs_tol=1e-12)
+
+
 def test_odd_rows_of_secrets(docs_of):
     key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
     long = "word " * 200_000 + f'token = "{key}"'
