@@ -1,11 +1,16 @@
 """What moves between tasks, and that it says the same."""
 
+import json
+
 import pytest
+from helpers import sources
 from pyspark.sql import functions as F
 
+from codeweft.functions.contracts import violations, with_kept
 from codeweft.functions.ids import pack, unpack
 from codeweft.plans import reconcile as rec
 from codeweft.queries import REGISTRY
+from codeweft.schemas import ELEMENTS, FILE_STATE
 
 
 @pytest.fixture
@@ -54,3 +59,34 @@ def test_sealed_events_say_what_envelopes_say(spark):
     want = rec.envelope(rows, "metadata", "upsert", F.col("file_id"), mine, body).first()
     got = rec.sealed(rec.bare_events(rows, F.lit("metadata"), "upsert", F.col("file_id"), body, mine)).first()
     assert (got.topic, got.key, got.phase, got.value) == (want.topic, want.key, want.phase, want.value)
+
+
+def test_events_of_parsed_files_stay_in_their_buckets(spark):
+    was = sources(spark, {"a.py": "def f(x):\n    return x + y\n", "b.py": "z = 1\n"})
+    now = sources(spark, {"a.py": "def f(x):\n    return x\n", "b.py": "z = (\n", "c.py": "print(1)\n"})
+    none = spark.createDataFrame([], FILE_STATE), spark.createDataFrame([], ELEMENTS)
+    first = rec.reconcile(was, *none, "t", "one")
+    second = rec.reconcile(now, first.file_state, first.elements, "t", "two")
+    steps = second.events._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in steps and "RoundRobin" not in steps
+    by_file = {}
+    for r in second.events.collect():
+        by_file.setdefault(r.file_id, []).append((r.seq, r.phase, r.key))
+    assert len(by_file) == 3
+    for rows in by_file.values():
+        assert [s for s, _, _ in sorted(rows)] == list(range(len(rows)))
+        assert [(p, k) for _, p, k in sorted(rows)] == sorted((p, k) for _, p, k in rows)
+
+
+def test_whether_a_rule_is_broken_needs_no_list_of_names(spark):
+    h = "ab" * 32
+    good = dict(schema_version="1.0", event_time="2024-06-01T00:00:00Z", repo_id="r", file_id=h, run_id="x", content_hash=h, event_id=h, op="upsert")
+    events = [{**good, "node": {"id": h}}, {**good, "node": {"id": "x"}}, {**good, "node": {}}, {**good, "node": None}, {**good, "node": "t"}, good]
+    events += [{**good, "node": {"id": h}, "more": 1}] + [{**good, "node": {"id": h}, k: v} for k in good for v in (None, "", "no")]
+    events += [{k: v for k, v in events[0].items() if k != out} for out in good]
+    values = [json.dumps(e) for e in events] + ["", "{", "[]", "null", "1", None, '{"node":{"id":1}}']
+    rows = spark.createDataFrame([(v,) for v in values], "value string")
+    both = with_kept(rows, "node", "kept").withColumn("names", violations(F.col("value"), "node"))
+    got = both.collect()
+    assert [r.kept for r in got] == [r.names == [] for r in got] and 0 < sum(r.kept for r in got) < len(got) / 2
+    assert "lambda" not in with_kept(rows, "node", "kept")._jdf.queryExecution().optimizedPlan().toString()
